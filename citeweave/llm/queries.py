@@ -19,6 +19,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import packing
+
+    return packing.pack(_table(spark, sf_dir, "documents"), packing.Tokenizer.public())
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import near_dedup
 
