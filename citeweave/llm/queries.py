@@ -19,6 +19,13 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality_rules
+
+    docs = _table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import secret_scan
 
