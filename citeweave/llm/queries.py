@@ -46,12 +46,28 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), packing.Tokenizer.public())
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import language_id
+
+    docs = _table(spark, sf_dir, "documents")
+    out = language_id.predict(docs, language_id.fit(docs))
+    return out.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import near_dedup
 
     return near_dedup.link(_table(spark, sf_dir, "documents"))
 
 
+def op9_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pu_quality
+
+    docs = _table(spark, sf_dir, "documents")
+    out = pu_quality.predict(docs, pu_quality.fit(docs, _table(spark, sf_dir, "labels")))
+    return out.select("doc_id", pu_quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import sharding
 
