@@ -1,0 +1 @@
+"""citeweave: linkage of bibliographic metadata on Spark DataFrames."""
