@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_PER_FILE = 100_000
 _OWN: dict[str, str] = {}
 
 
@@ -32,8 +33,11 @@ class Store:
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark, self.base, self.count = spark, f"{folder(spark)}/{name}-{uuid.uuid4().hex}", 0
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """Writes and reads again; a bound on the rows keeps small tables out of very many files."""
         self.count += 1
+        if rows is not None:
+            df = df.coalesce(max(8, rows // ROWS_PER_FILE))
         path = f"{self.base}/{self.count}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)

@@ -5,16 +5,19 @@
    first non-empty bin of a random probe order of its own (optimal densification).  Bands of ``rows`` values are
    buckets.
 2. Texts of equal sets become one class; only classes go on, so exact copies never make pairs.
-3. Stars: in each bucket a centre meets the other classes of the bucket, if their set sizes allow the similarity; each
-   pair is confirmed once, on the full sets.  Confirmed links are contracted into components.
-4. Two classes of a bucket that are still in different components and have not met are not given up: the bucket gets
-   further centres, classes of its smallest components first, until every bucket holds one component only or all pairs
-   across its components have met a centre.  So the pair count stays near the star's, yet no link between bucket mates
-   is lost, and nothing is capped.
+3. Stars: in each bucket one class is the centre, by one of four hash orders, so that a large group meets several
+   centres.  Every other class of the bucket whose set size allows the similarity is compared with it on the full sets.
+   Links are contracted into components.
+4. A bucket may still hold classes of several components.  They are not given up: those outside the bucket's largest
+   component are compared with all classes of that component's open buckets and with one another.  This runs in cells of
+   at most ``BLOCK`` such classes and about ``CHUNK`` others; a task reads the sets of a cell and returns links only, so
+   no pair is ever a row, and a class is read once per block, not once per bucket or pair.
 
-With 48 bands of 6 rows a pair of similarity 0.75 is missed with probability 1e-4, one of 0.8 with 5e-7.
+With 48 bands of 6 rows a pair of similarity 0.75 shares no bucket with probability 1e-4, one of 0.8 with 5e-7; of the
+pairs that share one, no link between components is lost and nothing is capped.
 
-Nothing is collected but counts.  Class sets that meet are written once to the shared folder and joined to the pairs.
+Sets are made again from the texts that take part: a bitmap of their hashed ids (at most ``BITMAP_WORDS`` numbers, a
+fixed size) drops most other texts before the shuffle.  Nothing else is sent to all tasks, and nothing is collected.
 
 Defined results: a text without words (null, blank) has an empty set (n_shingles 0), is linked with nothing and kept; a
 text of one to four words has one shingle, its whole sequence; the class and the component are named by their least
@@ -29,13 +32,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _text
 from ._store import Store
 
 BANDS, ROWS, WORDS, PERCENT = 48, 6, 5, 75
+ORDERS, BLOCK, CHUNK, BITMAP_WORDS = 4, 64, 512, 1 << 16
 _U = np.uint64
 
 
@@ -83,10 +87,10 @@ def band_keys(shingles: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.
 SIGNED = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"
 
 
-def _sign(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], bands: int, rows: int, words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, f1, f2, keys = [], [], [], []
-        for s in shingle_sets(batch.column(1)):
+        for s in shingle_sets(batch.column(1), words):
             n.append(len(s))
             mixed = _text.mix(s + _U(77))
             f1.append(np.add.reduce(mixed) if len(s) else _U(0))
@@ -101,107 +105,179 @@ def _sign(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[
         )
 
 
-def _pack_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+CELLS = "cell long, centre boolean, id long, shingles binary"
+
+
+def _to_cells(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """The set of each text, once for each cell that it takes part in."""
     for batch in batches:
-        sets = [s.tobytes() for s in shingle_sets(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])
+        rows: list[tuple] = []
+        size = 0
+        for i, s in enumerate(shingle_sets(batch.column(1), words)):
+            ids, packed = batch.column(0)[i].as_py(), s.tobytes()
+            for role in batch.column(2)[i].as_py():
+                rows.append((role["cell"], role["centre"], ids, packed))
+                size += len(packed)
+            if size > 1 << 23:
+                yield _cell_rows(rows)
+                rows, size = [], 0
+        if rows:
+            yield _cell_rows(rows)
+
+
+def _cell_rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["cell", "centre", "id", "shingles"])
+
+
+class _Cell:
+    """The centres of a cell, as an inverted index from shingle to centres."""
 
+    def __init__(self) -> None:
+        self.ids: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.index = None
 
-def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    def add(self, id_: int, shingles: np.ndarray) -> None:
+        self.ids.append(id_)
+        self.sets.append(shingles)
+
+    def linked(self, id_: int, shingles: np.ndarray, percent: int) -> list[int]:
+        if not self.ids:
+            return []
+        if self.index is None:
+            owner = np.repeat(np.arange(len(self.sets)), [len(s) for s in self.sets])
+            flat = np.concatenate(self.sets)
+            order = np.argsort(flat, kind="stable")
+            self.keys, start = np.unique(flat[order], return_index=True)
+            self.index, self.start = owner[order], np.append(start, len(flat))
+            self.sizes, self.names = np.array([len(s) for s in self.sets]), np.array(self.ids)
+            self.sets = []
+        at = np.minimum(np.searchsorted(self.keys, shingles), len(self.keys) - 1)
+        at = at[self.keys[at] == shingles]
+        many = self.start[at + 1] - self.start[at]
+        place = np.repeat(self.start[at] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        both = np.bincount(self.index[place], minlength=len(self.ids))
+        hit = (100 * both >= percent * (self.sizes + len(shingles) - both)) & (self.names != id_)
+        return self.names[hit].tolist()
+
+
+def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows come by cell, centres first."""
+    now, cell = None, _Cell()
     for batch in batches:
-        linked = np.zeros(batch.num_rows, bool)
-        for i in range(batch.num_rows):
-            a = np.frombuffer(batch.column(2)[i].as_buffer(), np.uint64)
-            b = np.frombuffer(batch.column(3)[i].as_buffer(), np.uint64)
-            if len(a) > len(b):
-                a, b = b, a
-            at = np.searchsorted(b, a)
-            at[at == len(b)] = len(b) - 1
-            both = int(np.count_nonzero(b[at] == a))
-            linked[i] = 100 * both >= percent * (len(a) + len(b) - both)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked)], names=["a", "b", "linked"])
+        a, b = [], []
+        for key, centre, id_, packed in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3), strict=True):
+            if key != now:
+                now, cell = key, _Cell()
+            shingles = np.frombuffer(packed.as_buffer(), np.uint64)
+            if centre:
+                cell.add(id_, shingles.copy())
+            else:
+                for other in cell.linked(id_, shingles, percent):
+                    a.append(min(id_, other))
+                    b.append(max(id_, other))
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _links(store: Store, texts: DataFrame, roles: DataFrame, words: int, percent: int) -> DataFrame:
+    """a, b: links found in cells; ``roles`` (id, role) says which ids are in which cell, as a centre or not."""
+    roles = store.save(roles.groupBy("id").agg(F.collect_set("role").alias("roles")))
+    word, bit = F.pmod(F.xxhash64("id"), F.lit(BITMAP_WORDS)), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(64)).cast("int")
+    # BITMAP_WORDS rows of two numbers, whatever the size of the input
+    bitmap = roles.groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(xxhash64(id, 1), 64) as int))")).alias("bits"))
+    texts = texts.select(F.col("doc_id").alias("id"), "text").withColumn("word", word).withColumn("bit", bit)
+    texts = texts.join(F.broadcast(bitmap), "word").where("getbit(bits, bit) = 1").select("id", "text")
+    cells = texts.join(roles, "id").select("id", "text", "roles").mapInArrow(lambda b: _to_cells(b, words), CELLS)
+    # true sorts last, so descending puts the centres first
+    cells = cells.repartition("cell").sortWithinPartitions("cell", F.col("centre").desc())
+    return cells.mapInArrow(lambda b: _compare(b, percent), "a long, b long").distinct()
 
 
 def components(edges: DataFrame, store: Store) -> DataFrame:
-    """node, label: the least node that each node of the edges (a, b) reaches.
+    """node, label: the least node that each node of the distinct saved edges (a, b) reaches.
 
-    Labels spread along edges and are then looked up in themselves, so chains shorten by half each round.
+    Labels spread along edges and are then looked up among the labels before, so chains shorten by half each round.
+    Labels only fall, so equal sums mean that none did.
     """
-    both = store.save(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct())
-    labels = store.save(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
+    rows = 2 * edges.count()
+    both = store.save(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))), rows)
+    labels = store.save(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), rows)
+    total = None
     while True:
-        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
-        step = labels.join(near, labels.node == near.a).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        step = store.save(step.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label")))
-        changed = step.where("label < old").limit(1).count()
-        old, labels = labels, step
-        store.drop(old)
-        if not changed:
+        now = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
+        if now == total:
             store.drop(both)
-            return labels.select("node", "label")
+            return labels
+        total, before = now, labels
+        sent = both.join(labels, both.b == labels.node).select(F.col("a").alias("node"), "label").union(labels.select("node", "label"))
+        least = sent.groupBy("node").agg(F.min("label").alias("label"))
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        labels = store.save(least.join(jump, "label", "left").select("node", F.least("label", F.coalesce("further", "label")).alias("label")), rows)
+        store.drop(before)
+
+
+def _role(cell: Column, centre: bool) -> Column:
+    return F.struct(cell.alias("cell"), F.lit(centre).alias("centre"))
+
+
+def _star_cells(buckets: DataFrame, percent: int) -> DataFrame:
+    """Each centre meets the classes of its buckets, in cells of a share of them."""
+    fits = f"id <> c and 100 * least(n, cn) >= {percent} * greatest(n, cn)"
+    cell = F.xxhash64("c", F.pmod(F.xxhash64("id"), F.ceil(F.col("k") / CHUNK)))
+    both = F.array(F.struct("id", _role(cell, False).alias("role")), F.struct(F.col("c").alias("id"), _role(cell, True).alias("role")))
+    return buckets.where(fits).select(F.inline(both))
+
+
+def _rest_cells(store: Store, buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Classes outside the largest component of an open bucket, against all classes of the component's open buckets."""
+    rows = buckets.where("id <> c").select("bucket", "id")
+    if labels is None:
+        rows = rows.withColumn("comp", F.col("id"))
+    else:
+        rows = rows.join(labels.select(F.col("node").alias("id"), "label"), "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("comp"))
+    rows = store.save(rows)
+    parts = rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"))
+    parts = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("k", "comp")).alias("most")).where("parts > 1")
+    rows = rows.join(parts.select("bucket", F.col("most.comp").alias("largest")), "bucket")
+    rows = store.save(rows.groupBy("largest", "id").agg(F.max(F.col("comp") != F.col("largest")).alias("outside")))
+    sizes = rows.groupBy("largest").agg(F.count(F.lit(1)).alias("n"), F.count_if("outside").alias("m"))
+    sizes = sizes.select("largest", F.ceil(F.col("m") / BLOCK).alias("blocks"), F.ceil(F.col("n") / CHUNK).alias("chunks"))
+    rows = rows.join(sizes, "largest").withColumn("block", F.pmod(F.xxhash64("id"), "blocks")).withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(1)), "chunks"))
+    zero = F.lit(0).cast("long")
+    reads = F.transform(F.sequence(zero, F.col("blocks") - 1), lambda b: _role(F.xxhash64("largest", b, "chunk"), False))
+    leads = F.transform(F.sequence(zero, F.col("chunks") - 1), lambda c: _role(F.xxhash64("largest", "block", c), True))
+    return rows.select("id", F.explode(F.when(F.col("outside"), F.concat(reads, leads)).otherwise(reads)).alias("role"))
 
 
 def link(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row."""
-    spark = docs.sparkSession
-    store = Store(spark, "near-dedup")
+    store = Store(docs.sparkSession, "near-dedup")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = store.save(texts.mapInArrow(lambda b: _sign(b, bands, rows), SIGNED))
+    signed = store.save(texts.mapInArrow(lambda b: _sign(b, bands, rows, words), SIGNED))
     same = ["f1", "f2", "n_shingles"]
     classes = store.save(
         signed.where("doc_id is not null and n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
     )
-    members = classes.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("centre")).where("k > 1")
-    buckets = store.save(members.join(shared.select("bucket", "centre"), "bucket"))  # bucket, id, n, centre
-    met = buckets.select("id").distinct().withColumnRenamed("id", "doc_id")
-    sets = store.save(texts.join(met, "doc_id", "left_semi").mapInArrow(_pack_sets, "id long, shingles binary"))
-
-    links, tested, labels, spent = None, None, None, None
-    centres = buckets.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("c")).select("bucket", F.col("c.id").alias("c"), F.col("c.n").alias("cn"))
-    live, turn = buckets.select("bucket", "id", "n", F.col("id").alias("comp")), 0
-    centres = centres.withColumn("ccomp", F.col("c"))
-    while True:
-        pairs = (
-            live.join(centres, "bucket")
-            .where(f"id <> c and comp <> ccomp and 100 * least(n, cn) >= {percent} * greatest(n, cn)")
-            .select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        met = pairs.join(sets.withColumnRenamed("shingles", "sa").withColumnRenamed("id", "a"), "a")
-        met = met.join(sets.withColumnRenamed("shingles", "sb").withColumnRenamed("id", "b"), "b").select("a", "b", "sa", "sb")
-        seen = store.save(met.mapInArrow(lambda b: _confirm(b, percent), "a long, b long, linked boolean"))
-        found = seen.where("linked").select("a", "b")
-        links = found if links is None else links.union(found)
-        tested = seen.select("a", "b") if tested is None else tested.union(seen.select("a", "b"))
-        if turn == 0 or not found.isEmpty():
-            store.drop(labels)
-            labels = components(links, store) if not links.isEmpty() else None
-        turn += 1
-        # What each bucket still holds: classes that were never its centre, by component.
-        done = centres.select("bucket", F.col("c").alias("id"))
-        spent = store.save(done if spent is None else spent.union(done))
-        named = buckets.select("bucket", "id", "n")
-        if labels is not None:
-            named = named.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("label", "id")).drop("label")
-        else:
-            named = named.withColumn("comp", F.col("id"))
-        named = named.join(spent, ["bucket", "id"], "left_anti")
-        parts = named.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"))
-        mixed = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("k", "comp")).alias("most")).where("parts > 1")
-        live = store.save(named.join(mixed.select("bucket", F.col("most.comp").alias("largest")), "bucket").select("bucket", "id", "n", "comp", "largest"))
-        if live.isEmpty():
-            break
-        # Centres of the next turn: up to 2**turn classes outside the bucket's largest component.
-        salted = live.where("comp <> largest").groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(2**turn)))
-        centres = salted.agg(F.min(F.struct("id", "n", "comp")).alias("c"))
-        centres = store.save(centres.select("bucket", F.col("c.id").alias("c"), F.col("c.n").alias("cn"), F.col("c.comp").alias("ccomp")))
-    known = classes.select(*same, "id")
+    members = classes.select("id", F.col("n_shingles").cast("int").alias("n"), F.explode("bands").alias("bucket"))
+    first = F.min(F.struct(F.xxhash64("id", F.pmod("bucket", F.lit(ORDERS))).alias("h"), "id", "n"))
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), first.alias("c")).where("k > 1")
+    buckets = store.save(members.join(shared.select("bucket", "k", F.col("c.id").alias("c"), F.col("c.n").alias("cn")), "bucket"))
+    links = store.save(_links(store, texts, _star_cells(buckets, percent), words, percent))
+    labels = None if links.isEmpty() else components(links, store)
+    more = _links(store, texts, _rest_cells(store, buckets, labels), words, percent)
+    names = classes.select("id", F.col("id").alias("label"))
     if labels is not None:
-        known = known.join(labels.withColumnRenamed("node", "id"), "id", "left").select(*same, F.coalesce("label", "id").alias("id"))
+        # links between components, by their names
+        for side in ("a", "b"):
+            found = labels.select(F.col("node").alias(side), F.col("label").alias("_label"))
+            more = more.join(found, side, "left").withColumn(side, F.coalesce("_label", side)).drop("_label")
+        names = classes.join(labels.select(F.col("node").alias("id"), "label"), "id", "left").select("id", F.coalesce("label", "id").alias("label"))
+    more = store.save(more.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    if not more.isEmpty():
+        merged = components(more, store).select(F.col("node").alias("label"), F.col("label").alias("_label"))
+        names = names.join(merged, "label", "left").select("id", F.coalesce("_label", "label").alias("label"))
+    known = classes.select(*same, "id").join(names, "id").select(*same, F.col("label").alias("id"))
     whole = signed.select("doc_id", *same).join(known, same, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id"))
     return whole.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
