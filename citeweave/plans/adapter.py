@@ -149,4 +149,5 @@ def work_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("W"), F.col("k").cast("string")).alias("id"), F.concat(F.lit("https://doi.org/"), doi_of(F.col("k"))).alias("doi"), "authorships",
         F.struct(F.struct(F.concat(F.lit("S"), (F.col("k") % 5).cast("string")).alias("id")).alias("source")).alias("primary_location"),
     )
-    return works.select(F.to_json(record).alias("line"), F.lit("orders").alias("source_file_path"))
+    # parsing is the slow step, so lines are spread as those of unsplittable files are
+    return works.select(F.to_json(record).alias("line"), F.lit("orders").alias("source_file_path")).repartition(spark.sparkContext.defaultParallelism)

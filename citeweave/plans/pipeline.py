@@ -51,7 +51,7 @@ def normalize_file(spark: SparkSession, path: str, output: str | None = None) ->
 def build_table(spark: SparkSession, source: str | DataFrame, output: str, cluster: bool = True) -> dict[str, int]:
     """E2, second half: the validated reference table as Parquet in ``output/author_references``, and the first rejects
     in ``output/import_errors``.  The table is clustered by affiliation key, which replaces indexes."""
-    staged = works.read_csv(spark, source, AUTHOR_AFFILIATIONS.names) if isinstance(source, str) else source
+    staged = works.read_csv_or_plain(spark, source, AUTHOR_AFFILIATIONS.names) if isinstance(source, str) else source
     staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sinks.write_references(build.build_references(staged), f"{output}/author_references", ["normalized_affiliation_key", "doi"] if cluster else None)

@@ -186,6 +186,21 @@ def partial_ratio_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("a", "b", F.round(similarity.partial_ratio_udf(F.lower("a"), F.lower("b")), 9).alias("score"))
 
 
+@_registered(
+    """SELECT p_partkey, jaro_winkler_similarity(split_part(p_name, ' ', 2), split_part(p_name, ' ', 2)) >= 0.85 AS same,
+  trim(regexp_replace(lower(p_type || ' & ' || p_brand), '[^\\w\\s]', '', 'g')) AS key FROM part"""
+)
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2.9: the registered functions inside a SQL text with named parameters."""
+    from ..functions.register import register_all
+
+    register_all(spark)
+    return spark.sql(
+        "SELECT p_partkey, are_names_similar_udf(p_name, p_name, 'first_last', 'first_last', :least) AS same, normalize_affiliation_udf(p_type || ' & ' || p_brand) AS key FROM {part}",
+        args={"least": 0.85}, part=a.table(spark, sf_dir, "part"),
+    )
+
+
 # --- building and profiling ----------------------------------------------------------------------------------------------
 
 

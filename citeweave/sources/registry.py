@@ -1,40 +1,42 @@
 """Which paths of a work hold arrays (M2): only these make a pattern fan out.
 
-Fixed values, in alphabetical order.  Works with a work id are described in one vocabulary, works known by their DOI in
-another.
+Works with a work id are described in one vocabulary, works known by their DOI in another.
 """
 
 from __future__ import annotations
 
-_LOCATIONS = ("best_oa_location", "locations", "primary_location")
-
+#: Array paths of works with a work id, in the order of that vocabulary.
 WORK_ARRAYS = frozenset(
-    """abstract_inverted_index.* authorships authorships.affiliations authorships.affiliations.institution_ids authorships.countries
-    authorships.country_ids authorships.institutions authorships.institutions.lineage authorships.raw_affiliation_strings concepts
-    corresponding_author_ids corresponding_institution_ids counts_by_year datasets grants indexed_in keywords locations mesh referenced_works
-    related_works sustainable_development_goals topics versions""".split()
-) | {f"{place}.source.{name}" for place in _LOCATIONS for name in ("host_organization_lineage", "host_organization_lineage_names")}
-
-_AFFILIATED = ("author", "chair", "editor")
-#: Every one of these holds ``date-parts``, an array.
-_DATES = """accepted approved content-created content-updated created deposited event.end event.start indexed issued
-    journal-issue.published-online journal-issue.published-print license.start posted project.award-end project.award-planned-end
-    project.award-start project.co-lead-investigator.role-end project.co-lead-investigator.role-start project.investigator.role-end
-    project.investigator.role-start project.lead-investigator.role-end project.lead-investigator.role-start published published-online
-    published-other published-print update-to.updated updated-by.updated award-start""".split()
+    """
+    primary_location.source.host_organization_lineage primary_location.source.host_organization_lineage_names
+    best_oa_location.source.host_organization_lineage best_oa_location.source.host_organization_lineage_names
+    locations locations.source.host_organization_lineage locations.source.host_organization_lineage_names
+    authorships authorships.raw_affiliation_strings authorships.countries authorships.country_ids authorships.affiliations
+    authorships.affiliations.institution_ids authorships.institutions authorships.institutions.lineage corresponding_author_ids
+    corresponding_institution_ids referenced_works related_works indexed_in concepts topics mesh keywords sustainable_development_goals counts_by_year
+    abstract_inverted_index.* versions datasets grants
+    """.split()
+)
 
-DOI_ARRAYS = (
-    frozenset(
-        """ISBN ISSN aliases alternative-id archive assertion author chair clinical-trial-number container-title content-domain.domain degree editor
-        event.sponsor funder funder.award funder.id institution institution.acronym institution.department institution.id institution.place
-        isbn-type issn-type issue-title license link original-title project project.co-lead-investigator project.co-lead-investigator.affiliation
-        project.co-lead-investigator.affiliation.id project.funding project.funding.funder.id project.investigator project.investigator.affiliation
-        project.investigator.affiliation.id project.investigator.alternate-name project.lead-investigator project.lead-investigator.affiliation
-        project.lead-investigator.affiliation.id project.lead-investigator.alternate-name project.project-description project.project-title reference
-        relation.* resource.secondary short-container-title short-title subtitle title translator translator.affiliation translator.affiliation.id
-        translator.affiliation.place update-to updated-by""".split()
-    )
-    | {f"{who}.affiliation" for who in _AFFILIATED}
-    | {f"{who}.affiliation.{what}" for who in _AFFILIATED for what in ("acronym", "department", "id", "place")}
-    | {f"{date}.date-parts" for date in _DATES}
+#: Array paths of works known by their DOI, in the order of that vocabulary.
+DOI_ARRAYS = frozenset(
+    """
+    ISSN alternative-id author author.affiliation author.affiliation.place author.affiliation.id author.affiliation.department
+    author.affiliation.acronym container-title content-domain.domain created.date-parts deposited.date-parts indexed.date-parts issn-type
+    issued.date-parts journal-issue.published-print.date-parts journal-issue.published-online.date-parts license license.start.date-parts link
+    published.date-parts published-print.date-parts reference resource.secondary short-container-title title published-online.date-parts archive
+    assertion subtitle updated-by updated-by.updated.date-parts relation.* funder funder.id funder.award update-to update-to.updated.date-parts
+    published-other.date-parts editor editor.affiliation editor.affiliation.id editor.affiliation.place editor.affiliation.acronym
+    editor.affiliation.department aliases original-title ISBN isbn-type event.end.date-parts event.start.date-parts event.sponsor accepted.date-parts
+    short-title institution institution.place institution.acronym institution.department institution.id posted.date-parts approved.date-parts
+    content-created.date-parts degree issue-title translator translator.affiliation translator.affiliation.id translator.affiliation.place
+    clinical-trial-number award-start.date-parts project project.award-end.date-parts project.award-start.date-parts project.funding
+    project.funding.funder.id project.investigator project.investigator.affiliation project.investigator.affiliation.id
+    project.investigator.alternate-name project.investigator.role-start.date-parts project.investigator.role-end.date-parts project.lead-investigator
+    project.lead-investigator.affiliation project.lead-investigator.affiliation.id project.lead-investigator.alternate-name
+    project.lead-investigator.role-start.date-parts project.lead-investigator.role-end.date-parts project.project-title project.project-description
+    project.co-lead-investigator project.co-lead-investigator.affiliation project.co-lead-investigator.affiliation.id
+    project.co-lead-investigator.role-end.date-parts project.co-lead-investigator.role-start.date-parts project.award-planned-end.date-parts chair
+    chair.affiliation chair.affiliation.id chair.affiliation.department chair.affiliation.acronym chair.affiliation.place content-updated.date-parts
+    """.split()
 )

@@ -43,6 +43,18 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, c
     return rows.select(*(F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns))
 
 
+def read_csv_or_plain(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """As ``read_csv``; if the file cannot be read so, line by line without quoted newlines, bad lines left out."""
+    try:
+        rows = read_csv(spark, path, columns)
+        rows.limit(1).count()
+        return rows
+    except Exception:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        plain = spark.read.option("header", True).option("mode", "DROPMALFORMED").option("ignoreCorruptFiles", True).schema(schema).csv(path)
+        return plain.select(*(F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns))
+
+
 def input_ids(rows: DataFrame, doi: str | None = None, work_id: str | None = None) -> DataFrame:
     """The distinct pairs of raw ids; a column that is not given is NULL."""
     if not doi and not work_id:
