@@ -175,7 +175,8 @@ def pack(docs: DataFrame, files: Tokenizer, capacity: int = 1024, end: int = 2,
     runs = spark.createDataFrame(plan, "length int, first long, last long, sequence long, offset long")
     if len(plan) <= 200_000:
         runs = F.broadcast(runs)
-    placed = pieces.join(counts.select("length", "part", "before"), ["length", "part"]).withColumn("rank", F.col("before") + F.col("place"))
+    # counts grow with the tasks, so they are not to be sent to all of them however small their file is
+    placed = pieces.join(counts.select("length", "part", "before").hint("merge"), ["length", "part"]).withColumn("rank", F.col("before") + F.col("place"))
     placed = placed.join(runs.withColumnRenamed("length", "l"), (F.col("length") == F.col("l")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last")))
     return placed.select(
         "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32",
