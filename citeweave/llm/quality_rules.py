@@ -41,52 +41,51 @@ class Field(NamedTuple):
     step: np.ndarray
 
 
-def _padded(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sequences as [place, sequence, feature], longest first, and how many are as long as each place needs."""
-    size = max(map(len, sequences))
-    x = np.zeros((size, len(sequences), LINE_FEATURES))
-    for i, s in enumerate(sequences):
-        x[: len(s), i] = s
+def _by_place(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of sequences sorted from the longest on, place by place, and where the rows of each place begin."""
     lengths = np.array([len(s) for s in sequences])
-    return x, np.array([(lengths > t).sum() for t in range(size)])
+    on = np.array([(lengths > t).sum() for t in range(lengths[0])])
+    at = np.concatenate([[0], np.cumsum(on)])
+    x = np.empty((at[-1], LINE_FEATURES))
+    for i, s in enumerate(sequences):
+        x[at[: len(s)] + i] = s
+    return x, at
 
 
 def train(sequences: list[np.ndarray], labels: list[int], rounds: int = 150, rate: float = 0.2, decay: float = 1e-4) -> Field:
     """Maximum likelihood by Adam; all lines of a sequence have its label."""
     order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-    x, on = _padded([sequences[i] for i in order])
-    y = np.array([labels[i] for i in order])
-    total = int(on.sum())
-    # weights of texts, so that both kinds count alike
-    share = np.where(y == 1, 0.5 / max(1, (on[:, None] > np.arange(len(y)))[:, y == 1].sum()), 0.5 / max(1, (on[:, None] > np.arange(len(y)))[:, y == 0].sum())) * total
+    x, at = _by_place([sequences[i] for i in order])
+    places = [slice(a, b) for a, b in zip(at[:-1], at[1:], strict=True)]
+    number = np.concatenate([np.arange(b - a) for a, b in zip(at[:-1], at[1:], strict=True)])  # sequence of each row
+    y = np.array([labels[i] for i in order])[number]
+    share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))  # both kinds count alike
+    later = np.arange(at[1], at[-1])  # rows with a line before them, and the rows of those lines
+    before = np.concatenate([[0], at])[np.searchsorted(at, later, side="right") - 1] + number[later]
+    truth = np.stack([y == 0, y == 1], axis=1)
     theta = np.zeros(2 * LINE_FEATURES + 4)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for k in range(1, rounds + 1):
         emission, step = theta[: 2 * LINE_FEATURES].reshape(2, -1), theta[2 * LINE_FEATURES :].reshape(2, 2)
         scores = x @ emission.T
-        forward, backward = np.zeros_like(scores), np.zeros_like(scores)
-        forward[0] = scores[0]
-        for t in range(1, len(on)):
-            n = on[t]
-            forward[t, :n] = scores[t, :n] + np.logaddexp(forward[t - 1, :n, :1] + step[0], forward[t - 1, :n, 1:] + step[1])
-        for t in range(len(on) - 2, -1, -1):
-            n = on[t + 1]
-            ahead = scores[t + 1, :n] + backward[t + 1, :n]
-            backward[t, :n] = np.logaddexp(step[:, 0] + ahead[:, :1], step[:, 1] + ahead[:, 1:])
-        norm = np.logaddexp(*(forward[0] + backward[0]).T)
-        grad_emission, grad_step = np.zeros_like(emission), np.zeros_like(step)
-        for t in range(len(on)):
-            n = on[t]
-            mean = np.exp(forward[t, :n] + backward[t, :n] - norm[:n, None])
-            truth = np.stack([y[:n] == 0, y[:n] == 1], axis=1)
-            grad_emission += ((truth - mean) * share[:n, None]).T @ x[t, :n]
-            if t + 1 < len(on):
-                m = on[t + 1]
-                pair = forward[t, :m, :, None] + step + (scores[t + 1, :m] + backward[t + 1, :m])[:, None, :] - norm[:m, None, None]
-                grad_step -= (np.exp(pair) * share[:m, None, None]).sum(axis=0)
-                grad_step[0, 0] += share[:m][y[:m] == 0].sum()
-                grad_step[1, 1] += share[:m][y[:m] == 1].sum()
-        gradient = np.concatenate([grad_emission.ravel(), grad_step.ravel()]) / total - decay * theta
+        forward, backward = scores.copy(), np.zeros_like(scores)
+        for i in range(1, len(places)):
+            here = places[i]
+            past = forward[places[i - 1]][: here.stop - here.start]
+            forward[here] += np.logaddexp(past[:, :1] + step[0], past[:, 1:] + step[1])
+        for i in range(len(places) - 2, -1, -1):
+            there = places[i + 1]
+            ahead = scores[there] + backward[there]
+            start = places[i].start
+            backward[start : start + len(ahead)] = np.logaddexp(step[:, 0] + ahead[:, :1], step[:, 1] + ahead[:, 1:])
+        norm = np.logaddexp(*(forward[places[0]] + backward[places[0]]).T)[number]
+        mean = np.exp(forward + backward - norm[:, None])
+        grad_emission = ((truth - mean) * share[:, None]).T @ x
+        pair = forward[before][:, :, None] + step + (scores[later] + backward[later])[:, None, :] - norm[later, None, None]
+        grad_step = -(np.exp(pair) * share[later, None, None]).sum(axis=0)
+        grad_step[0, 0] += share[later][y[later] == 0].sum()
+        grad_step[1, 1] += share[later][y[later] == 1].sum()
+        gradient = np.concatenate([grad_emission.ravel(), grad_step.ravel()]) - decay * theta
         first, second = 0.9 * first + 0.1 * gradient, 0.99 * second + 0.01 * gradient**2
         theta = theta + rate * first / (1 - 0.9**k) / (np.sqrt(second / (1 - 0.99**k)) + 1e-8)
     # A text's lines share one label in training, so the chain would never switch; a bound on its steps lets it.
