@@ -27,6 +27,13 @@ def folder(spark: SparkSession) -> str:
     return _OWN["here"]
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, or with underscores ahead of it one that no column has."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = "_" + name
+    return name
+
+
 class Store:
     """The tables of one run of an operator."""
 

@@ -224,7 +224,9 @@ def _kind(value: str) -> str:
 
 
 def _scanned(docs: DataFrame, forest: Forest) -> DataFrame:
-    return docs.withColumn("_parts", _parts(F.col("text").cast("string"))).withColumn("_found", _found(forest))
+    """The rows as one struct, so that no column of theirs can clash, and their parts and candidates."""
+    rows = docs.select(F.struct("*").alias("_row")).withColumn("_parts", _parts(F.col("_row.text").cast("string")))
+    return rows.withColumn("_found", _found(forest))
 
 
 def findings(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5) -> DataFrame:
@@ -234,7 +236,7 @@ def findings(docs: DataFrame, forest: Forest | None = None, threshold: float = 0
     ahead = F.expr(
         "transform(_found, f -> named_struct('f', f, 'start', aggregate(slice(_parts, 1, f.nth), 0, (n, p) -> n + char_length(p)) - (f.nth - 1)))"
     )
-    return rows.select("doc_id", F.explode(ahead).alias("r")).select(
+    return rows.select("_row.doc_id", F.explode(ahead).alias("r")).select(
         "doc_id", F.col("r.f.nth").cast("long").alias("nth"), F.col("r.start").cast("long").alias("start"), F.char_length("r.f.value").cast("long").alias("length"),
         F.col("r.f.kind").alias("kind"), F.sha2("r.f.value", 256).alias("value_sha256"), F.round("r.f.score", 6).alias("score"), (F.col("r.f.score") >= threshold).alias("is_secret"),
     )
@@ -243,7 +245,8 @@ def findings(docs: DataFrame, forest: Forest | None = None, threshold: float = 0
 def redact(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5) -> DataFrame:
     """The same rows and columns with each secret in ``text`` replaced by ``[SECRET]``."""
     forest = forest or fit(docs.sparkSession)
-    rest = "substring(element_at(_parts, f.nth + 1), locate('\\u0002', element_at(_parts, f.nth + 1)) + 1)"
+    rest = "substring(element_at(_parts, f.nth + 1), locate('\u0002', element_at(_parts, f.nth + 1)) + 1)"
     safe = f"concat(element_at(_parts, 1), array_join(transform(_found, f -> concat(if(f.score >= {threshold!r}D, '{REDACTED}', f.value), {rest})), ''))"
-    # texts without a candidate are returned as they came, marks included
-    return _scanned(docs, forest).withColumn("text", F.when(F.exists("_found", lambda f: f["score"] >= threshold), F.expr(safe)).otherwise(F.col("text"))).drop("_parts", "_found")
+    # texts without a secret are returned as they came, marks included
+    text = F.when(F.exists("_found", lambda f: f["score"] >= threshold), F.expr(safe)).otherwise(F.col("_row.text"))
+    return _scanned(docs, forest).withColumn("_row", F.col("_row").withField("text", text)).select("_row.*")

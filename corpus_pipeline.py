@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.llm import decontaminate, near_dedup, packing, quality_rules, secret_scan
-from citeweave.llm._store import Store
+from citeweave.llm._store import Store, unused
 
 
 def _counted(text: Column, before: Column, n_chars: Column) -> Column:
@@ -25,24 +25,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one of least doc_id."""
-    kept = near_dedup.link(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    name = unused("_kept", docs.columns)
+    kept = near_dedup.link(docs).where("kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_semi")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words inside benchmark windows are cut out of the texts."""
-    out = decontaminate.scan(docs.withColumn("_before", F.col("text")), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), remove=True)
+    before = unused("before", docs.columns)
+    out = decontaminate.scan(docs.withColumn(before, F.col("text")), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), remove=True)
     names = {c: F.col(f"`_{c}`") for c in docs.columns} | {"doc_id": F.col("doc_id"), "text": F.col("text")}
     if "n_chars" in names:
-        names["n_chars"] = _counted(F.col("text"), F.col("__before"), names["n_chars"])
+        names["n_chars"] = _counted(F.col("text"), F.col(f"`_{before}`"), names["n_chars"])
     return out.select(*(names[c].alias(c) for c in docs.columns))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the texts."""
-    out = secret_scan.redact(docs.withColumn("_before", F.col("text")))
+    before = unused("before", docs.columns)
+    out = secret_scan.redact(docs.withColumn(before, F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", _counted(F.col("text"), F.col("_before"), F.col("n_chars")))
+        out = out.withColumn("n_chars", _counted(F.col("text"), F.col(f"`{before}`"), F.col("n_chars")))
     return out.select(*docs.columns)
 
 

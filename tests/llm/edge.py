@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, size string, slot string, n_words string, label string, spans string, row string, bucket string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, size string, slot string, n_words string, label string, spans string, row string, bucket string, _kept string, before string, _before string, _parts string, _row string"
 
 
 def words(n: int, seed: int) -> str:
@@ -21,7 +21,7 @@ TEXTS = [
 
 def docs(spark, texts=TEXTS):
     """Documents with null columns and with columns named like those that the operators make."""
-    rows = [(i, t, None if k % 3 else "en", None, None, "x", None, "y", "z", None, "s", "r", "b") for k, (i, t) in enumerate(texts)]
+    rows = [(i, t, None if k % 3 else "en", None, None, "x", None, "y", "z", None, "s", "r", "b", "1", "2", "3", "4", "5") for k, (i, t) in enumerate(texts)]
     return spark.createDataFrame(rows, SCHEMA)
 
 
