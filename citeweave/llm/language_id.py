@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from . import _text
 
-SIZE, CENTROIDS, PER_LANGUAGE, MAX_DOCS, ROWS = 4096, 3, 500, 20_000, 256
+SIZE, CENTROIDS, PER_LANGUAGE, MAX_DOCS, ROWS = 4096, 3, 500, 4_000, 256
 _LETTERS = _text.byte_set((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 _FOLD = np.where(_LETTERS, _text.LOWER, 0x20).astype(np.uint32)
 
