@@ -29,6 +29,7 @@ from . import _text
 
 SEEDS = "seed long, doc_id long, pos int, n int, windows binary"
 SPANS = "doc_id long, pos int, n int"
+SLICE_BYTES = 16 << 20
 _U = np.uint64
 
 
@@ -76,9 +77,16 @@ def _window_table(ids: np.ndarray, column: pa.Array, length: int, k: int):
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def _seed_rows(batches: Iterator[pa.RecordBatch], length: int, k: int) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with an id, in slices of bounded size: a word takes some fifty bytes while windows are told apart."""
     for batch in batches:
         batch = batch.filter(batch.column(0).is_valid())
+        for i, j in _text.chunks(_text.text_buffers(batch.column(1))[0], SLICE_BYTES):
+            yield batch.slice(i, j - i)
+
+
+def _seed_rows(batches: Iterator[pa.RecordBatch], length: int, k: int) -> Iterator[pa.RecordBatch]:
+    for batch in _slices(batches):
         table = _window_table(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1), length, k)
         if table is None:
             continue
