@@ -10,14 +10,15 @@
    Links are contracted into components.
 4. A bucket may still hold classes of several components.  They are not given up: those outside the bucket's largest
    component are compared with all classes of that component's open buckets and with one another.  This runs in cells of
-   at most ``BLOCK`` such classes and about ``CHUNK`` others; a task reads the sets of a cell and returns links only, so
+   about ``BLOCK`` such classes and ``CHUNK`` others; a task reads the sets of a cell and returns links only, so
    no pair is ever a row, and a class is read once per block, not once per bucket or pair.
 
 With 48 bands of 6 rows a pair of similarity 0.75 shares no bucket with probability 1e-4, one of 0.8 with 5e-7; of the
 pairs that share one, no link between components is lost and nothing is capped.
 
 Sets are made again from the texts that take part: a bitmap of their hashed ids (at most ``BITMAP_WORDS`` numbers, a
-fixed size) drops most other texts before the shuffle.  Nothing else is sent to all tasks, and nothing is collected.
+fixed size) drops most other texts before the shuffle; over a very large input it fills up and then drops none, which
+costs a shuffle of the texts and nothing else.  Nothing else is sent to all tasks, and nothing is collected.
 
 Defined results: a text without words (null, blank) has an empty set (n_shingles 0), is linked with nothing and kept; a
 text of one to four words has one shingle, its whole sequence; the class and the component are named by their least
