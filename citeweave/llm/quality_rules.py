@@ -4,9 +4,11 @@ Each line with a word is a state of a chain, content or boilerplate.  Viterbi de
 text's lines under emission weights (line features) and transition weights; the share of words' code points in content
 lines decides retention.  A whole chunk of texts is decoded at once, one line place at a time.
 
-The field is trained by maximum likelihood (forward-backward gradients) on at most ``MAX_DOCS`` labelled texts, a stated
-bound: the lines of texts of quality 1 count as content, those of quality 0 as boilerplate, and the chain smooths over
-the clean lines that poor texts hold.  With too few labelled texts of either kind, seeded example texts are used.
+The field is trained by maximum likelihood (forward-backward gradients) on at most ``PER_LABEL`` labelled texts of each
+quality, a stated bound: the lines of texts of quality 1 count as content, those of quality 0 as boilerplate, and the
+chain smooths over the clean lines that poor texts hold.  The texts are chosen by hash among those that hold a word, so
+labels without such a text take no place; equal rows of a doc_id count once.  Seeded example texts are used only if a
+quality has no labelled text at all.
 
 Symbols are ASCII, so a symbol is always in a word.
 
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from . import _text
 from ._lines import LINE_FEATURES, line_table
 
-MAX_DOCS, MAX_BYTES, LEAST = 3000, 40_000, 100
+PER_LABEL, MAX_BYTES = 3000, 40_000
 CONTENT, BOILERPLATE = 1, 0
 MIN_WORDS, MAX_REPEAT, MIN_CONTENT = 50, 50, 0.3
 MAX_STEP = 0.2  # how strongly a line leans on its neighbours
@@ -149,11 +151,11 @@ def _judge(batches: Iterator[pa.RecordBatch], field: Field) -> Iterator[pa.Recor
 def _line_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for w in _text.word_tables(batch.column(1)):
+        for w in _text.word_tables(batch.column(3)):
             lines = line_table(w)
             x = lines.features()
             out += [x[a:b].tobytes() for a, b in zip(lines.line_at[:-1], lines.line_at[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["quality", "lines"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], names=["doc_id", "code", "quality", "lines"])
 
 
 def example_texts(n: int = 400, seed: int = 5) -> list[tuple[str, int]]:
@@ -172,17 +174,22 @@ def example_texts(n: int = 400, seed: int = 5) -> list[tuple[str, int]]:
 
 
 def fit(docs: DataFrame, labels: DataFrame | None) -> Field:
-    """The field from labelled texts, or from the examples."""
+    """The field from labelled texts, or from the examples if a quality has none."""
     rows: list = []
     if labels is not None:
         marks = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-        # MAX_DOCS rows of two numbers
-        marks = marks.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_DOCS)
-        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(marks), "doc_id")
-        texts = texts.where(F.octet_length("text") <= MAX_BYTES).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(MAX_DOCS)
-        rows = texts.select("quality", "text").mapInArrow(_line_features, "quality int, lines binary").collect()
+        marks = marks.groupBy("doc_id").agg(F.max("quality").alias("quality"))
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        texts = texts.where(F.col("text").rlike("[^\\x20\\x09-\\x0D]") & (F.octet_length("text") <= MAX_BYTES)).withColumn("code", F.xxhash64("text"))
+        known = texts.select("doc_id", "code").join(marks, "doc_id").distinct()
+        chosen = [known.where(F.col("quality") == k).orderBy(F.xxhash64("doc_id"), "doc_id", "code").limit(PER_LABEL) for k in (0, 1)]
+        # at most PER_LABEL rows of three numbers for each quality
+        texts = texts.join(F.broadcast(chosen[0].union(chosen[1])), ["doc_id", "code"])
+        lines = texts.select("doc_id", "code", "quality", "text").mapInArrow(_line_features, "doc_id long, code long, quality int, lines binary")
+        rows = lines.dropDuplicates(["doc_id", "code"]).collect()
+        rows.sort(key=lambda r: (r["doc_id"], r["code"]))
     sequences = [(np.frombuffer(r["lines"]).reshape(-1, LINE_FEATURES), r["quality"]) for r in rows if r["lines"]]
-    if min((sum(q == k for _, q in sequences) for k in (0, 1)), default=0) < LEAST:
+    if len({q for _, q in sequences}) < 2:
         texts, marks = zip(*example_texts(), strict=True)
         sequences = [(s, q) for s, q in zip(_sequences(list(texts)), marks, strict=True) if len(s)]
     return train([s for s, _ in sequences], [q for _, q in sequences])

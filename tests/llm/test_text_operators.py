@@ -66,6 +66,21 @@ def test_quality_verdicts_agree_with_labels(spark, sf):
     assert np.mean(good) > 0.97 and np.mean(bad) < 0.2
 
 
+def test_quality_field_learns_from_few_and_skewed_labels(spark, monkeypatch):
+    # the other way round than the examples have it: prose is poor, noise is good
+    poor, good = "\n".join(["plain words of a page that nobody wants to read again."] * 3), "\n".join(["### KEEP | THIS | LINE $$$ 123"] * 3)
+    texts = [(i, f"{good} {i}") for i in range(400)] + [(1000 + i, f"{poor} {i}") for i in range(3)] + [(2000, " \n "), (2001, None)]
+    marks = [(i, int(i < 1000)) for i, _ in texts] + [(5000 + i, 0) for i in range(500)]  # these have no text
+    docs, labels = edge.docs(spark, texts), spark.createDataFrame(marks, "doc_id long, quality long")
+    monkeypatch.setattr(quality_rules, "PER_LABEL", 20, raising=False)
+    monkeypatch.setattr(quality_rules, "MAX_DOCS", 40, raising=False)
+    share = {r.doc_id: r.content_share for r in quality_rules.judge(docs, quality_rules.fit(docs, labels)).collect()}
+    assert all(share[i] == 1 for i in range(400)) and all(share[1000 + i] == 0 for i in range(3))
+    # without a label of a kind the examples decide
+    one = quality_rules.fit(docs, labels.where("quality = 1"))
+    assert np.array_equal(one.emission, quality_rules.fit(edge.none(spark), None).emission)
+
+
 def test_viterbi_finds_the_best_path():
     r = np.random.default_rng(3)
     field = quality_rules.Field(r.normal(size=(2, quality_rules.LINE_FEATURES)), r.normal(size=(2, 2)))
