@@ -2,10 +2,11 @@
 
 One pattern finds candidates: known key shapes, values assigned to names like ``token`` or ``password``, and long mixed
 strings.  ``regexp_replace`` puts marks around them and ``split`` cuts the text there, which keeps the exact places and
-both neighbourhoods of each candidate.  The forest sees the candidate's length, character transitions, coverage by
-dictionary words, character shares, paths and neighbouring words.  It is trained on labelled findings on the driver
-(at most ``MAX_FINDINGS`` rows, a stated bound) and applied as data: its trees are literal arrays that a fold walks, so
-scoring is an expression like any other and texts stay on the JVM.  There is no shuffle.
+both neighbourhoods of each candidate.  A candidate is the whole run of its characters, however long.  The forest sees
+the candidate's length, character transitions, coverage by dictionary words, character shares, paths and neighbouring
+words.  It is trained on labelled findings on the driver (at most ``MAX_FINDINGS`` rows, a stated bound) and applied as
+data: its trees are literal arrays that a fold walks, so scoring is an expression like any other and texts stay on the
+JVM.  There is no shuffle.
 
 No table here holds labelled findings, so ``labelled_findings`` makes a seeded set of the usual kinds of secrets and of
 what is mistaken for them; a DataFrame of one's own with the columns before, candidate, after, label does as well.
@@ -32,12 +33,12 @@ _NAMES = "pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|au
 #: Shapes of keys as their issuers publish them.
 _SHAPES = [
     "(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])",
-    "gh[pousr]_[A-Za-z0-9]{20,255}",
-    "xox[abprs]-[A-Za-z0-9-]{10,250}",
-    "eyJ[A-Za-z0-9_-]{10,2000}\\.[A-Za-z0-9_-]{10,2000}\\.[A-Za-z0-9_-]{5,2000}",
-    "(?=[A-Za-z+/_=-]{0,64}[0-9])[A-Za-z0-9+/_=-]{32,2000}",
+    "gh[pousr]_[A-Za-z0-9]{20,}+",
+    "xox[abprs]-[A-Za-z0-9-]{10,}+",
+    "eyJ[A-Za-z0-9_-]{10,}+\\.[A-Za-z0-9_-]{10,}+\\.[A-Za-z0-9_-]{5,}+",
+    "(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{32,}+",
 ]
-PATTERN = f"""((?i:{_NAMES})["']?\\s{{0,3}}[:=]\\s{{0,3}}["']?)([A-Za-z0-9+/_=.~@%^&*!$#-]{{8,2000}})|(?<![A-Za-z0-9+/_=-])({'|'.join(_SHAPES)})"""
+PATTERN = f"""((?i:{_NAMES})["']?\\s{{0,3}}[:=]\\s{{0,3}}["']?)([A-Za-z0-9+/_=.~@%^&*!$#-]{{8,}}+)|(?<![A-Za-z0-9+/_=-])({'|'.join(_SHAPES)})"""
 _OPEN, _CLOSE = "\x01", "\x02"
 
 #: Words that make a string look written rather than drawn.

@@ -131,6 +131,20 @@ def test_findings_and_redaction(spark, forest):
     assert secret_scan.findings(edge.none(spark), forest).count() == 0
 
 
+def test_long_secrets_are_found_whole(spark, forest):
+    r = np.random.default_rng(8)
+    drawn = lambda n: "".join(r.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), n))
+    body = drawn(3200)
+    texts = {
+        50: ("token=", body), 51: ("client-key-data: ", body), 52: ("key ", "ghp_" + body), 53: ("key ", "xoxb-" + body), 54: ("key ", f"eyJ{body}.{body}.{drawn(43)}"),
+        55: ("key ", "".join(r.choice(list("abcdefghXYZ"), 70)) + drawn(30) + "7"),
+    }
+    given = edge.docs(spark, [(i, f"{a}{value} end") for i, (a, value) in texts.items()])
+    rows = {r.doc_id: (r.start, r.length, r.value_sha256) for r in secret_scan.findings(given, forest).collect()}
+    assert rows == {i: (len(a), len(value), hashlib.sha256(value.encode()).hexdigest()) for i, (a, value) in texts.items()}
+    assert {r.doc_id: r.text for r in secret_scan.redact(given.where("doc_id < 55"), forest).collect()} == {i: f"{a}[SECRET] end" for i, (a, _) in texts.items() if i < 55}
+
+
 def test_forest_on_new_findings(spark, forest):
     rows = spark.createDataFrame(secret_scan.labelled_findings(400, seed=77), "before string, candidate string, after string, label int")
     scored = rows.select("label", F.expr(secret_scan.features_sql("before", "candidate", "after")).alias("x")).withColumn("s", F.expr(forest.sql("x")))
