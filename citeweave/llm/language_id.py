@@ -7,7 +7,8 @@ marked ``rejected``; the prediction itself stays the nearest language.
 
 The centroids and idf are fitted on at most ``PER_LANGUAGE`` texts of each language and ``MAX_DOCS`` in all, stated
 bounds: the ids of the language are cut into that many hash cells and each cell gives one text, an aggregate that hot
-languages do not slow down.  Scoring covers whole texts of all rows without a shuffle.
+languages do not slow down.  ``MAX_DOCS`` is shared out by language: all first cells come before all second ones, so
+languages with few texts keep theirs, and each language keeps one even if there are more than ``MAX_DOCS``.  Scoring covers whole texts of all rows without a shuffle.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0; so is any text if nothing was learned; a
 text with letters but no trigram of them takes the language with the most training texts of the cells; rows repeating a
@@ -21,7 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _text
@@ -139,8 +140,10 @@ def fit(docs: DataFrame) -> Model:
     cell = F.struct(F.xxhash64(doc_id).alias("h"), doc_id.alias("doc_id"))
     ids = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(doc_id))
     ids = ids.groupBy("lang", F.pmod(F.xxhash64(doc_id), F.lit(PER_LANGUAGE)).alias("cell")).agg(F.min(cell).alias("c"))
-    # at most MAX_DOCS pairs
-    ids = ids.orderBy("c", "lang").limit(MAX_DOCS).select(F.col("c.doc_id").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
+    # PER_LANGUAGE small rows of each language; of these, MAX_DOCS pairs, or one pair of each language if these are more
+    ids = ids.withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy("c")))
+    ids = ids.withColumn("place", F.row_number().over(Window.orderBy("turn", "c", "lang"))).where((F.col("turn") == 1) | (F.col("place") <= MAX_DOCS))
+    ids = ids.select(F.col("c.doc_id").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     texts = docs.select(doc_id.alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = texts.join(F.broadcast(ids), ["doc_id", "lang"]).where("text is not null").select("lang", "text").mapInArrow(_count, "lang string, grams binary").collect()
     rows.sort(key=lambda r: (r["lang"], bytes(r["grams"])))

@@ -248,6 +248,19 @@ def test_language_held_out(spark, sf):
     assert np.mean([r.lang_pred == r.lang for r in rows if r.held_out]) > 0.97
 
 
+def test_rare_languages_are_learned_beside_many_frequent_ones(spark):
+    # ten frequent languages fill 5,000 cells, more than MAX_DOCS; twenty rare ones have one text each
+    lang = F.when(F.col("id") < 30_000, F.concat(F.lit("l"), F.col("id") % 10)).otherwise(F.concat(F.lit("r"), F.col("id")))
+    rows = spark.range(30_020).select(F.col("id").alias("doc_id"), lang.alias("lang"), F.concat(F.lit("text of "), lang).alias("text"))
+    assert set(language_id.fit(rows).languages) == {f"l{k}" for k in range(10)} | {f"r{i}" for i in range(30_000, 30_020) if fold(i, 4) != 2}
+
+
+def test_language_bound_is_shared_by_language(spark, monkeypatch):
+    rows = spark.range(60).selectExpr("id as doc_id", "concat('l', id % 3) as lang", "concat(repeat(char(97 + id % 3), 4), ' x') as text")
+    monkeypatch.setattr(language_id, "MAX_DOCS", 2)
+    assert set(language_id.fit(rows).languages) == {"l0", "l1", "l2"}
+
+
 def test_language_edge_cases(spark, sf):
     model = language_id.fit(table(spark, sf, "documents"))
     rows = {r.doc_id: r for r in language_id.predict(edge.docs(spark, [*edge.TEXTS, (40, "123 456"), (41, "中文字"), (42, "x")]), model).collect()}
