@@ -1,7 +1,7 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest; DataFrame functions only.
 
-One pattern finds candidates: known key shapes, values assigned to names like ``token`` or ``password``, and long mixed
-strings.  ``regexp_replace`` puts marks around them and ``split`` cuts the text there, which keeps the exact places and
+One pattern finds candidates: known key shapes unless a letter or digit stands before them, values assigned to names like
+``token``, ``password`` or ``SECRET_KEY``, and long mixed strings, which end where one of the former begins.  ``regexp_replace`` puts marks around them and ``split`` cuts the text there, which keeps the exact places and
 both neighbourhoods of each candidate.  A candidate is the whole run of its characters, however long.  The forest sees
 the candidate's length, character transitions, coverage by dictionary words, character shares, paths and neighbouring
 words.  It is trained on labelled findings on the driver (at most ``MAX_FINDINGS`` rows, a stated bound) and applied as
@@ -36,9 +36,17 @@ _SHAPES = [
     "gh[pousr]_[A-Za-z0-9]{20,}+",
     "xox[abprs]-[A-Za-z0-9-]{10,}+",
     "eyJ[A-Za-z0-9_-]{10,}+\\.[A-Za-z0-9_-]{10,}+\\.[A-Za-z0-9_-]{5,}+",
-    "(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{32,}+",
 ]
-PATTERN = f"""((?i:{_NAMES})["']?\\s{{0,3}}[:=]\\s{{0,3}}["']?)([A-Za-z0-9+/_=.~@%^&*!$#-]{{8,}}+)|(?<![A-Za-z0-9+/_=-])({'|'.join(_SHAPES)})"""
+#: What may stand between such a name and the sign: ``_key``, ``_id``, ``Key``, ``_v2``.
+_SUFFIX = "(?:[_-][A-Za-z0-9]{1,16}|key|id){0,3}"
+_ASSIGNED = f"""(?i:(?:{_NAMES}){_SUFFIX})["']?\\s{{0,3}}[:=]\\s{{0,3}}["']?"""
+_VALUE = "[A-Za-z0-9+/_=.~@%^&*!$#-]"
+#: A fixed shape may follow any sign, for example in a path or behind ``=``.
+_FIXED = f"(?<![A-Za-z0-9])(?:{'|'.join(_SHAPES)})"
+#: A long mixed string starts where its run or the candidate before it ends, and goes up to the next such candidate.
+_RUN, _STOP = "A-Za-z0-9+/_=-", f"{_FIXED}|{_ASSIGNED}{_VALUE}{{8}}"
+_MIXED = f"(?:(?<![{_RUN}])|\\G)(?=[{_RUN}]{{32}})(?=(?:(?!{_STOP})[A-Za-z+/_=-])*+[0-9])(?:(?!{_STOP})[{_RUN}]){{32,}}+"
+PATTERN = f"({_ASSIGNED})({_VALUE}{{8,}}+)|({_FIXED}|{_MIXED})"
 _OPEN, _CLOSE = "\x01", "\x02"
 
 #: Words that make a string look written rather than drawn.
@@ -87,8 +95,8 @@ def features_sql(before: str, value: str, after: str) -> str:
         flag("[:=]\\s*[\"']?$", near),
         flag(_GOOD, near),
         flag(_BAD, f"concat({near}, ' ', {ahead})"),
-        flag(f"^(?:{'|'.join(_SHAPES[:4])})$", value),
-        flag(f"(?i)(?:{_NAMES})[\"']?\\s*[:=]\\s*[\"']?$", near),
+        flag(f"^(?:{'|'.join(_SHAPES)})$", value),
+        flag(f"(?i)(?:{_NAMES}){_SUFFIX}[\"']?\\s*[:=]\\s*[\"']?$", near),
     ]) + ")"
 
 
@@ -221,7 +229,7 @@ def _found(forest: Forest) -> Column:
 
 def _kind(value: str) -> str:
     names = ("cloud_key", "forge_token", "chat_token", "web_token")
-    return "case " + " ".join(f"when regexp_like({value}, {_quoted('^(?:' + s + ')$')}) then '{n}'" for s, n in zip(_SHAPES, names, strict=False)) + " else 'value' end"
+    return "case " + " ".join(f"when regexp_like({value}, {_quoted('^(?:' + s + ')$')}) then '{n}'" for s, n in zip(_SHAPES, names, strict=True)) + " else 'value' end"
 
 
 def _scanned(docs: DataFrame, forest: Forest) -> DataFrame:
