@@ -7,7 +7,9 @@ lines decides retention.  A whole chunk of texts is decoded at once, one line pl
 The field is trained by maximum likelihood (forward-backward gradients) on at most ``PER_LABEL`` labelled texts of each
 quality, a stated bound: the lines of texts of quality 1 count as content, those of quality 0 as boilerplate, and the
 chain smooths over the clean lines that poor texts hold.  The texts are chosen by hash among those that hold a word, so
-labels without such a text take no place; equal rows of a doc_id count once.  Seeded example texts are used only if a
+labels without such a text take no place; equal rows of a doc_id count once.  Texts are learned from whole, however long;
+so that the driver holds them, no further text of a quality is taken once those before it have ``MAX_LINES`` lines,
+blank ones included, a stated bound too.  Seeded example texts are used only if a
 quality has no labelled text at all.
 
 Symbols are ASCII, so a symbol is always in a word.
@@ -24,13 +26,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _text
 from ._lines import LINE_FEATURES, line_table
 
-PER_LABEL, MAX_BYTES = 3000, 40_000
+PER_LABEL, MAX_LINES = 3000, 200_000
 CONTENT, BOILERPLATE = 1, 0
 MIN_WORDS, MAX_REPEAT, MIN_CONTENT = 50, 50, 0.3
 MAX_STEP = 0.2  # how strongly a line leans on its neighbours
@@ -180,11 +182,15 @@ def fit(docs: DataFrame, labels: DataFrame | None) -> Field:
         marks = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
         marks = marks.groupBy("doc_id").agg(F.max("quality").alias("quality"))
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        texts = texts.where(F.col("text").rlike("[^\\x20\\x09-\\x0D]") & (F.octet_length("text") <= MAX_BYTES)).withColumn("code", F.xxhash64("text"))
-        known = texts.select("doc_id", "code").join(marks, "doc_id").distinct()
-        chosen = [known.where(F.col("quality") == k).orderBy(F.xxhash64("doc_id"), "doc_id", "code").limit(PER_LABEL) for k in (0, 1)]
-        # at most PER_LABEL rows of three numbers for each quality
-        texts = texts.join(F.broadcast(chosen[0].union(chosen[1])), ["doc_id", "code"])
+        texts = texts.where(F.col("text").rlike("[^\\x20\\x09-\\x0D]")).withColumn("code", F.xxhash64("text"))
+        breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+        known = texts.select("doc_id", "code", (breaks + 1).cast("long").alias("n")).join(marks, "doc_id").distinct()
+        order = F.xxhash64("doc_id"), F.col("doc_id"), F.col("code")
+        chosen = [known.where(F.col("quality") == k).orderBy(*order).limit(PER_LABEL) for k in (0, 1)]
+        # at most PER_LABEL rows of numbers for each quality
+        before = F.sum("n").over(Window.partitionBy("quality").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+        chosen = chosen[0].union(chosen[1]).withColumn("before", before).where(F.coalesce("before", F.lit(0)) < MAX_LINES)
+        texts = texts.join(F.broadcast(chosen.select("doc_id", "code", "quality")), ["doc_id", "code"])
         lines = texts.select("doc_id", "code", "quality", "text").mapInArrow(_line_features, "doc_id long, code long, quality int, lines binary")
         rows = lines.dropDuplicates(["doc_id", "code"]).collect()
         rows.sort(key=lambda r: (r["doc_id"], r["code"]))

@@ -81,6 +81,20 @@ def test_quality_field_learns_from_few_and_skewed_labels(spark, monkeypatch):
     assert np.array_equal(one.emission, quality_rules.fit(edge.none(spark), None).emission)
 
 
+def test_quality_field_learns_from_long_texts_whole(spark, monkeypatch):
+    # the only poor text is over 40,000 bytes
+    poor = "plain words of a page that nobody wants to read again.\n" * 1000
+    texts = [(i, f"### KEEP | THIS | LINE $$$ {i}\n### AND | THAT") for i in range(60)] + [(100, poor)]
+    docs, labels = edge.docs(spark, texts), spark.createDataFrame([(i, int(i < 100)) for i, _ in texts], "doc_id long, quality long")
+    seen = []
+    monkeypatch.setattr(quality_rules, "train", lambda x, y: seen.append(sorted((k, len(s)) for s, k in zip(x, y, strict=True))))
+    quality_rules.fit(docs, labels)
+    assert seen[-1] == [(0, 1000)] + [(1, 2)] * 60
+    monkeypatch.setattr(quality_rules, "MAX_LINES", 21, raising=False)
+    quality_rules.fit(docs, labels)
+    assert seen[-1] == [(0, 1000)] + [(1, 2)] * 11  # the text that reaches the bound is still whole
+
+
 def test_viterbi_finds_the_best_path():
     r = np.random.default_rng(3)
     field = quality_rules.Field(r.normal(size=(2, quality_rules.LINE_FEATURES)), r.normal(size=(2, 2)))
