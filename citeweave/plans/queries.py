@@ -154,6 +154,16 @@ def acronyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.table(spark, sf_dir, "customer").select("c_name", text.is_likely_acronym(F.substring("c_mktsegment", 1, 5)).alias("acronym"))
 
 
+@_registered(
+    """SELECT DISTINCT word, trim(x) = upper(x) AND upper(x) <> lower(x) AND length(x) <= 5 AS acronym FROM (
+  SELECT word, replace(replace(word, '.', ''), '-', '') AS x FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents))"""
+)
+def acronyms_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4 over whole values: the words of documents as spaces part them, short and long ones."""
+    words = a.table(spark, sf_dir, "documents").select(F.explode(F.split("text", " ")).alias("word")).distinct()
+    return words.select("word", text.is_likely_acronym(F.col("word")).alias("acronym"))
+
+
 _WORDS = "SELECT DISTINCT p_name AS a, p_type AS b FROM part"
 
 
