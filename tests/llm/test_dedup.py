@@ -59,6 +59,44 @@ def test_removal_on_random_texts(spark, seed):
     assert got == {i: wanted.get(i, (0, 0, "")) for i, _ in rows}
 
 
+@pytest.mark.parametrize("hot", [4096, 2])
+def test_removal_on_documents(spark, sf, hot):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    wanted = removed_by_brute_force(rows, 20)
+    got = {x.doc_id: (x.n_words, x.n_removed, x.kept_text) for x in substring_dedup.remove_repeats(docs, hot=hot).collect()}
+    assert got == {i: wanted.get(i, (0, 0, "")) for i, _ in rows}
+    assert sum(n for _, n, _ in wanted.values()) > 1000
+
+
+@pytest.mark.parametrize("hot", [4096, 16])
+def test_a_hot_phrase_in_different_surroundings(spark, hot):
+    """A third of all rows hold the phrase; only those with the same words around it repeat."""
+    phrase = edge.words(10, 77)
+    rows = [(i, f"{edge.words(15, 1000 + i % 150)} {phrase} {edge.words(15, 2000 + i % 220)}" if i % 3 == 0 else edge.words(40, 5000 + i)) for i in range(900)]
+    wanted = removed_by_brute_force(rows, 20)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = {x.doc_id: (x.n_words, x.n_removed, x.kept_text) for x in substring_dedup.remove_repeats(frame, hot=hot).collect()}
+    assert got == {i: wanted[i] for i, _ in rows}
+    assert sum(n > 0 for _, n, _ in wanted.values()) > 100
+
+
+def test_different_texts_of_one_doc_id_are_documents_of_their_own(spark):
+    a, b, shared = edge.words(60, 11), edge.words(60, 12), edge.words(30, 13)
+    rows = [(1, f"{shared} {a}"), (2, f"{b} {a}"), (2, f"{a} x"), (2, b), (3, b), (3, b)]
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got[0] == (1, 90, 0)
+    assert sorted(n for i, _, n in got if i == 2) == [60, 60, 60] or sorted(n for i, _, n in got if i == 2) == [0, 60, 120]
+    assert got[-2:] == [(3, 60, 60), (3, 60, 60)]
+
+
+def test_extension_parts_where_words_differ():
+    """Occurrences of one seed: equal surroundings, one that differs on the right, one that differs on the left."""
+    words = [b"l2 l1 s r1 r2", b"l2 l1 s r1 r2", b"l2 l1 s r1 xx", b"xx l1 s r1 r2"]
+    seeds = substring_dedup.Seeds(*(np.array(x) for x in ([7] * 4, [1, 2, 3, 4], [0] * 4, [2] * 4, [2] * 4, [0b111] * 4)), pa.array(words, pa.binary()))
+    assert substring_dedup.extend(seeds, 3, 1).tolist() == [0, 0b111, 0b110, 0b011]
+
+
 def sets_of(rows):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     out = {}
