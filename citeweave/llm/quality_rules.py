@@ -4,9 +4,10 @@ Each line with a word is a state of a chain, content or boilerplate.  Viterbi de
 text's lines under emission weights (line features) and transition weights; the share of words' code points in content
 lines decides retention.  A whole chunk of texts is decoded at once, one line place at a time.
 
-The field is trained by maximum likelihood (forward-backward gradients) on at most ``PER_LABEL`` labelled texts of each
-quality, a stated bound: the lines of texts of quality 1 count as content, those of quality 0 as boilerplate, and the
-chain smooths over the clean lines that poor texts hold.  The texts are chosen by hash among those that hold a word, so
+The field, transitions included, is trained by maximum likelihood (forward-backward gradients) on at most ``PER_LABEL``
+labelled texts of each quality, a stated bound.  Labels are of texts, so lines are labelled first, by what a line looks
+like, under the text's quality as a weak constraint (``line_labels``): poor texts hold clean lines and good texts some
+that are not, and from where these stand the chain learns its steps.  The texts are chosen by hash among those that hold a word, so
 labels without such a text take no place; equal rows of a doc_id count once.  Texts are learned from whole, however long;
 so that the driver holds them, no further text of a quality is taken once those before it have ``MAX_LINES`` lines,
 blank ones included, a stated bound too.  Seeded example texts are used only if a
@@ -35,7 +36,7 @@ from ._lines import LINE_FEATURES, line_table
 PER_LABEL, MAX_LINES = 3000, 200_000
 CONTENT, BOILERPLATE = 1, 0
 MIN_WORDS, MAX_REPEAT, MIN_CONTENT = 50, 50, 0.3
-MAX_STEP = 0.2  # how strongly a line leans on its neighbours
+CLEAR = 1.0  # log odds from which a line's looks alone tell what it is
 
 
 class Field(NamedTuple):
@@ -50,51 +51,88 @@ def _by_place(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.array([len(s) for s in sequences])
     on = np.array([(lengths > t).sum() for t in range(lengths[0])])
     at = np.concatenate([[0], np.cumsum(on)])
-    x = np.empty((at[-1], LINE_FEATURES))
+    x = np.empty((at[-1], *sequences[0].shape[1:]), sequences[0].dtype)
     for i, s in enumerate(sequences):
         x[at[: len(s)] + i] = s
     return x, at
 
 
-def train(sequences: list[np.ndarray], labels: list[int], rounds: int = 150, rate: float = 0.2, decay: float = 1e-4) -> Field:
-    """Maximum likelihood by Adam; all lines of a sequence have its label."""
+def _expected(scores: np.ndarray, step: np.ndarray, places: list[slice], later: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The probability of each label of each line, and of each pair of labels of a line and the one before it."""
+    emit = np.exp(scores - scores.max(axis=1, keepdims=True))
+    move = np.exp(step - step.max())
+    forward, backward, scale = emit.copy(), np.ones_like(emit), np.empty((len(emit), 1))
+    for i, here in enumerate(places):
+        if i:
+            forward[here] *= forward[places[i - 1]][: here.stop - here.start] @ move
+        scale[here] = forward[here].sum(axis=1, keepdims=True)
+        forward[here] /= scale[here]
+    ahead = emit / scale
+    for i in range(len(places) - 2, -1, -1):
+        there, start = places[i + 1], places[i].start
+        ahead[there] *= backward[there]
+        backward[start : start + there.stop - there.start] = ahead[there] @ move.T
+    return forward * backward, forward[before][:, :, None] * move * ahead[later][:, None, :]
+
+
+def maximise(sequences: list[np.ndarray], labels: list[np.ndarray], weights: list[float] | None = None, chain: bool = True, rounds: int = 150, rate: float = 0.2, decay: float = 1e-4) -> Field:
+    """Maximum likelihood of the lines' labels by Adam; without ``chain`` all steps stay at 0, so each line is on its own."""
     order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
     x, at = _by_place([sequences[i] for i in order])
-    places = [slice(a, b) for a, b in zip(at[:-1], at[1:], strict=True)]
+    y = _by_place([np.asarray(labels[i]) for i in order])[0].astype(int)
+    places = [slice(a, b) for a, b in zip(at[:-1], at[1:], strict=True)] if chain else [slice(0, len(x))]
     number = np.concatenate([np.arange(b - a) for a, b in zip(at[:-1], at[1:], strict=True)])  # sequence of each row
-    y = np.array([labels[i] for i in order])[number]
-    share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))  # both kinds count alike
-    later = np.arange(at[1], at[-1])  # rows with a line before them, and the rows of those lines
+    share = np.array([1 / len(y) if weights is None else weights[i] for i in order])[number]
+    later = np.arange(at[1], at[-1]) if chain else np.zeros(0, int)  # rows with a line before them, and the rows of those lines
     before = np.concatenate([[0], at])[np.searchsorted(at, later, side="right") - 1] + number[later]
     truth = np.stack([y == 0, y == 1], axis=1)
+    steps = np.zeros((2, 2))
+    np.add.at(steps, (y[before], y[later]), share[later])
     theta = np.zeros(2 * LINE_FEATURES + 4)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for k in range(1, rounds + 1):
         emission, step = theta[: 2 * LINE_FEATURES].reshape(2, -1), theta[2 * LINE_FEATURES :].reshape(2, 2)
-        scores = x @ emission.T
-        forward, backward = scores.copy(), np.zeros_like(scores)
-        for i in range(1, len(places)):
-            here = places[i]
-            past = forward[places[i - 1]][: here.stop - here.start]
-            forward[here] += np.logaddexp(past[:, :1] + step[0], past[:, 1:] + step[1])
-        for i in range(len(places) - 2, -1, -1):
-            there = places[i + 1]
-            ahead = scores[there] + backward[there]
-            start = places[i].start
-            backward[start : start + len(ahead)] = np.logaddexp(step[:, 0] + ahead[:, :1], step[:, 1] + ahead[:, 1:])
-        norm = np.logaddexp(*(forward[places[0]] + backward[places[0]]).T)[number]
-        mean = np.exp(forward + backward - norm[:, None])
+        mean, pairs = _expected(x @ emission.T, step, places, later, before)
         grad_emission = ((truth - mean) * share[:, None]).T @ x
-        pair = forward[before][:, :, None] + step + (scores[later] + backward[later])[:, None, :] - norm[later, None, None]
-        grad_step = -(np.exp(pair) * share[later, None, None]).sum(axis=0)
-        grad_step[0, 0] += share[later][y[later] == 0].sum()
-        grad_step[1, 1] += share[later][y[later] == 1].sum()
+        grad_step = steps - (pairs * share[later, None, None]).sum(axis=0)
         gradient = np.concatenate([grad_emission.ravel(), grad_step.ravel()]) - decay * theta
         first, second = 0.9 * first + 0.1 * gradient, 0.99 * second + 0.01 * gradient**2
         theta = theta + rate * first / (1 - 0.9**k) / (np.sqrt(second / (1 - 0.99**k)) + 1e-8)
-    # A text's lines share one label in training, so the chain would never switch; a bound on its steps lets it.
-    step = np.clip(theta[2 * LINE_FEATURES :].reshape(2, 2), -MAX_STEP, MAX_STEP)
-    return Field(theta[: 2 * LINE_FEATURES].reshape(2, -1), step)
+    return Field(theta[: 2 * LINE_FEATURES].reshape(2, -1), theta[2 * LINE_FEATURES :].reshape(2, 2))
+
+
+def _balanced(sequences: list[np.ndarray], qualities: list[int]) -> list[float]:
+    """What a line of each text counts, so that both qualities count alike."""
+    lines = [sum(len(s) for s, q in zip(sequences, qualities, strict=True) if q == k) for k in (0, 1)]
+    return [0.5 / max(1, lines[q]) for q in qualities]
+
+
+def line_labels(sequences: list[np.ndarray], qualities: list[int]) -> list[np.ndarray]:
+    """A label for each line from its looks, and where these leave it open from the quality of its text.
+
+    A classifier of single lines, fitted with each line under its text's quality, tells which lines are common in good
+    texts and which in poor ones, wherever they stand.  Lines of odds below ``CLEAR`` take their text's quality, so what
+    stands around them tells more than they do, which the chain learns.  The quality binds weakly elsewhere: the likelier
+    half of a good text's lines is content, and the least likely line of a poor one boilerplate.
+    """
+    weights = _balanced(sequences, qualities)
+    alone = maximise(sequences, [np.full(len(s), q) for s, q in zip(sequences, qualities, strict=True)], weights, chain=False)
+    out = []
+    for s, q in zip(sequences, qualities, strict=True):
+        odds = s @ (alone.emission[CONTENT] - alone.emission[BOILERPLATE])
+        labels = np.where(odds >= CLEAR, CONTENT, np.where(odds <= -CLEAR, BOILERPLATE, q)).astype(np.int8)
+        order = np.argsort(odds, kind="stable")
+        if q == CONTENT:
+            labels[order[len(order) // 2 :]] = CONTENT
+        else:
+            labels[order[:1]] = BOILERPLATE
+        out.append(labels)
+    return out
+
+
+def train(sequences: list[np.ndarray], qualities: list[int]) -> Field:
+    """The field from the lines of texts of known quality."""
+    return maximise(sequences, line_labels(sequences, qualities), _balanced(sequences, qualities))
 
 
 def viterbi(field: Field, features: np.ndarray, line_at: np.ndarray) -> np.ndarray:

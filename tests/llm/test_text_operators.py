@@ -95,6 +95,55 @@ def test_quality_field_learns_from_long_texts_whole(spark, monkeypatch):
     assert seen[-1] == [(0, 1000)] + [(1, 2)] * 11  # the text that reaches the bound is still whole
 
 
+def test_the_chain_is_learned_and_helps():
+    """Runs of content and boilerplate lines; every third line looks like nothing, so only its neighbours tell."""
+    r = np.random.default_rng(8)
+
+    def text(quality):
+        labels, now = [], quality
+        for _ in range(40):
+            now = now if r.random() < (0.97 if now == quality else 0.8) else 1 - now
+            labels.append(now)
+        x = np.zeros((40, quality_rules.LINE_FEATURES))
+        x[:, 0] = 1
+        for i, label in enumerate(labels):
+            if i % 3:
+                x[i, 1 + label] = 1
+        return x, np.array(labels)
+
+    qualities = [i % 2 for i in range(200)]
+    texts = [text(q) for q in qualities]
+    field = quality_rules.train([x for x, _ in texts], qualities)
+    alone = quality_rules.Field(field.emission, np.zeros((2, 2)))
+    assert field.step[0, 0] + field.step[1, 1] > field.step[0, 1] + field.step[1, 0] + 1
+    assert len(set(np.round(np.abs(field.step.ravel()), 3))) > 1  # no common bound
+    fresh = [text(i % 2) for i in range(100)]
+    features, truth, at = np.concatenate([x for x, _ in fresh]), np.concatenate([y for _, y in fresh]), np.arange(0, 4001, 40)
+    with_chain, without = (float(np.mean(quality_rules.viterbi(f, features, at) == truth)) for f in (field, alone))
+    assert with_chain > 0.9 and with_chain > without + 0.05, (with_chain, without)
+
+
+def test_likelihood_gradient_finds_known_weights():
+    """Labels drawn from a field: the fitted one tells them as well as the one they come from."""
+    r = np.random.default_rng(4)
+    true = quality_rules.Field(r.normal(size=(2, quality_rules.LINE_FEATURES)), np.array([[1.5, -1.5], [-1.0, 1.0]]))
+    xs, ys = [], []
+    for _ in range(150):
+        x = r.normal(size=(12, quality_rules.LINE_FEATURES))
+        scores, back = x @ true.emission.T, np.zeros((12, 2))
+        for t in range(10, -1, -1):
+            back[t] = np.logaddexp.reduce(true.step + scores[t + 1] + back[t + 1], axis=1)
+        y = []
+        for t in range(12):
+            odds = scores[t] + back[t] + (true.step[y[-1]] if y else 0)
+            y.append(int(r.random() < 1 / (1 + np.exp(odds[0] - odds[1]))))
+        xs.append(x)
+        ys.append(np.array(y))
+    found = quality_rules.maximise(xs, ys)
+    same = true.step[0, 0] + true.step[1, 1] - true.step[0, 1] - true.step[1, 0]
+    assert abs(found.step[0, 0] + found.step[1, 1] - found.step[0, 1] - found.step[1, 0] - same) < 1.2
+
+
 def test_viterbi_finds_the_best_path():
     r = np.random.default_rng(3)
     field = quality_rules.Field(r.normal(size=(2, quality_rules.LINE_FEATURES)), r.normal(size=(2, 2)))
