@@ -1,18 +1,19 @@
-"""Best-fit packing of token pieces into sequences of fixed capacity.
+"""Best-fit packing of token pieces into sequences of fixed capacity, bulk-synchronous.
 
 1. Each text is tokenised and closed with the end id; only longer texts are cut, into full pieces after a first piece
    that takes the rest.  Pieces are written to the shared folder once, with their place among the pieces of equal
    length in their task.
-2. Range sort: lengths are whole numbers up to the capacity, so the sorted order of all pieces is its run-length code:
-   how many pieces of each length each task has.  A running sum over tasks, per length, turns places within a task into
-   global ranks.  No piece moves for this, and one length with half of all pieces is as cheap as any other.
-3. Bulk-synchronous best fit on runs: step by step from the longest length on, all pieces of a length sweep the open
-   gaps upwards from their own length (successor), pieces that want the same gap take its copies in rank order, what is
-   left sweeps on to the next gap, gaps are updated, and pieces without a gap open new sequences.  A run of equal gaps
-   is one entry, so a step costs by the number of distinct gaps, at most the capacity, not by pieces.
+2. Range sort: lengths are whole numbers up to the capacity, so the sorted order of all pieces is kept as its run-length
+   code: how many pieces of each length each task has.  A running sum over tasks, per length, turns places within a task
+   into global ranks.  No piece moves for this, and one length with half of all pieces is as cheap as any other.
+3. Rounds, from the longest pieces on, each over the lengths down to half of those before.  Pieces and gaps, as runs, are
+   dealt out by ranges of size, and each range sweeps on its own: a piece takes its successor, the smallest gap that
+   holds it, gaps are updated, and pieces that want the same gaps take them in the order of length and rank.  What finds
+   no gap in its range meets the gaps of the wider range in the next sweep; the last one spans all sizes, and what
+   finds none there opens new sequences.  Gaps go on to the next round, through the shared folder.
 4. Each run of ranks knows its sequences and offset; pieces look up their run by length and rank.
 
-What the driver sees is one count per length and the runs of the plan, both bounded by the capacity, not by the input.
+The driver holds no run and no piece.  Runs are at most about as many as pairs of lengths and gaps.
 
 Defined results: null or empty text is the end id alone; repeated rows are packed each; a null doc_id is carried along;
 other columns are ignored; an empty table gives no rows.  The ids are those of the ``tokenizers`` file: texts made of
@@ -24,8 +25,8 @@ from __future__ import annotations
 import base64
 import re
 import zlib
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 
 from ._store import Store
 
+ROUNDS, STEP, RANGES, MAX_RUNS = 6, 2, 16, 200_000
 #: Anything but printable ASCII, plain white space, Latin, Greek and Cyrillic letters and common punctuation.
 _UNSURE = re.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-ſΑ-ΡΣ-ώА-я‐-‧‰-⁞€]")
 
@@ -128,18 +130,37 @@ class Run(NamedTuple):
     offset: int
 
 
-def best_fit(counts: dict[int, int], capacity: int) -> tuple[list[Run], int]:
-    """The plan for so many pieces of each length, and how many sequences it takes."""
-    gaps: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # gap -> runs (first sequence, how many)
-    plan: list[Run] = []
-    opened = 0
-    for length in sorted(counts, reverse=True):
-        rank, left, gap = 0, counts[length], length
+GAP, PIECE, PLACED = 0, 1, 2
+#: Runs between sweeps: ``n`` gaps of a size in sequences ``at`` on; or ``n`` pieces of a size with ranks ``at`` on, and where they lie.
+STATE = "kind int, size int, at long, n long, sequence long, offset long"
+
+
+class Swept(NamedTuple):
+    placed: list[Run]
+    gaps: list[tuple[int, int, int]]  # size, first sequence, how many
+    left: list[tuple[int, int, int]]  # length, first rank, how many
+
+
+def sweep(pieces: list[tuple[int, int, int]], gaps: list[tuple[int, int, int]], capacity: int, opened: int | None = None) -> Swept:
+    """Best fit of runs: pieces from the longest on sweep the gaps upwards from their own length to the next open one.
+
+    Pieces that want the same gaps take them in the order of length and rank, and gaps are updated at once.  Pieces
+    without a gap open sequences numbered from ``opened`` on, or are left over if it is None.
+    """
+    runs: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]
+    for size, sequence, n in sorted(gaps, reverse=True):
+        runs[size].append((sequence, n))
+    out = Swept([], [], [])
+    for length, rank, left in sorted(pieces, key=lambda p: (-p[0], p[1])):
+        gap = length
         while left:
-            while gap <= capacity and not gaps[gap]:
+            while gap <= capacity and not runs[gap]:
                 gap += 1
             if gap <= capacity:
-                sequence, many = gaps[gap].pop()
+                sequence, many = runs[gap].pop()
+            elif opened is None:
+                out.left.append((length, rank, left))
+                break
             else:
                 gap, sequence = capacity, opened
                 many = -(-left // (capacity // length))
@@ -149,15 +170,50 @@ def best_fit(counts: dict[int, int], capacity: int) -> tuple[list[Run], int]:
             if not full:
                 full, each = 1, left
             for i in range(each):
-                plan.append(Run(length, rank, rank + full, sequence, capacity - gap + i * length))
+                out.placed.append(Run(length, rank, rank + full, sequence, capacity - gap + i * length))
                 rank += full
             left -= full * each
-            gaps[gap - each * length].append((sequence, full))
+            runs[gap - each * length].append((sequence, full))
             if many > full:
-                gaps[gap].append((sequence + full, many - full))
+                runs[gap].append((sequence + full, many - full))
             if gap == capacity:
                 gap = length
-    return plan, opened
+    out.gaps.extend((size, sequence, n) for size in range(1, capacity + 1) for sequence, n in runs[size])
+    return out
+
+
+def _range_sweep(capacity: int, opened: int | None) -> Callable[[pa.Table], pa.Table]:
+    """For a range of sizes: its pieces take its gaps; placed runs pass."""
+    return lambda table: _sweep_range(table, capacity, opened)
+
+
+def _sweep_range(table: pa.Table, capacity: int, opened: int | None) -> pa.Table:
+    rows = list(zip(*(table.column(c).to_pylist() for c in ("kind", "size", "at", "n", "sequence", "offset")), strict=True))
+    swept = sweep([r[1:4] for r in rows if r[0] == PIECE], [r[1:4] for r in rows if r[0] == GAP], capacity, opened)
+    out = [r for r in rows if r[0] == PLACED]
+    out += [(PLACED, r.length, r.first, r.last - r.first, r.sequence, r.offset) for r in swept.placed]
+    out += [(GAP, *g, 0, 0) for g in swept.gaps] + [(PIECE, *p, 0, 0) for p in swept.left]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["kind", "size", "at", "n", "sequence", "offset"]
+    return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=names)
+
+
+def best_fit(store: Store, totals: DataFrame, capacity: int) -> DataFrame:
+    """length, first, last, sequence, offset of all runs of pieces, from how many pieces (n) each length has."""
+    whole = totals.select(F.lit(PIECE).alias("kind"), F.col("length").alias("size"), F.lit(0).cast("long").alias("at"), "n", F.lit(0).cast("long").alias("sequence"), F.lit(0).cast("long").alias("offset"))
+    gaps, placed, upper = None, [], capacity
+    for number in range(ROUNDS):
+        lower = upper // STEP if number < ROUNDS - 1 else 0
+        rows = whole.where((F.col("size") > lower) & (F.col("size") <= upper))
+        rows = rows if gaps is None else rows.union(gaps)
+        for width in (max(1, capacity // RANGES), capacity + 1):
+            opened = number << 48 if width > capacity else None  # the last range holds all gaps, so what finds none there opens
+            ranged = rows.withColumn("range", F.floor(F.col("size") / F.lit(width)))
+            rows = ranged.groupBy("range").applyInArrow(_range_sweep(capacity, opened), STATE)
+        state = store.save(rows, 1)
+        placed.append(state.where(F.col("kind") == PLACED).select(F.col("size").alias("length"), F.col("at").alias("first"), (F.col("at") + F.col("n")).alias("last"), "sequence", "offset"))
+        gaps, upper = state.where(F.col("kind") == GAP), lower
+    return reduce(DataFrame.union, placed)
 
 
 def pack(docs: DataFrame, files: Tokenizer, capacity: int = 1024, end: int = 2, with_ids: bool = False) -> DataFrame:
@@ -170,10 +226,8 @@ def pack(docs: DataFrame, files: Tokenizer, capacity: int = 1024, end: int = 2,
     counts = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = store.save(counts.select("length", "part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
-    totals = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
-    plan, _ = best_fit(totals, capacity)
-    runs = spark.createDataFrame(plan, "length int, first long, last long, sequence long, offset long")
-    if len(plan) <= 200_000:
+    runs = best_fit(store, counts.groupBy("length").agg(F.sum("n").alias("n")), capacity)
+    if runs.count() <= MAX_RUNS:
         runs = F.broadcast(runs)
     # counts grow with the tasks, so they are not to be sent to all of them however small their file is
     placed = pieces.join(counts.select("length", "part", "before").hint("merge"), ["length", "part"]).withColumn("rank", F.col("before") + F.col("place"))

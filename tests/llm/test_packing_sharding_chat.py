@@ -13,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from citeweave.llm import chat_template, packing, queries, sharding
+from citeweave.llm._store import Store
 
 from ..oracle import duck_rows
 from . import edge
@@ -20,27 +21,63 @@ from . import edge
 # --- packing -----------------------------------------------------------------------------------------------------------
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.integers(1, 60), st.dictionaries(st.integers(1, 60), st.integers(1, 40), min_size=1, max_size=12))
-def test_best_fit_plan(capacity, counts):
-    counts = {min(k, capacity): v for k, v in counts.items()}
-    plan, opened = packing.best_fit(counts, capacity)
+def check_plan(runs, counts, capacity):
+    """Each piece lies once, sequences are full from 0 on, and no two could be one; gives the number of sequences."""
     placed, sequences = collections.defaultdict(list), collections.defaultdict(list)
-    for run in plan:
+    for run in runs:
         for r in range(run.first, run.last):
             placed[run.length].append(r)
             sequences[run.sequence + r - run.first].append((run.offset, run.length))
     assert {k: sorted(v) for k, v in placed.items()} == {k: list(range(v)) for k, v in counts.items()}
-    assert len(sequences) == opened
     for items in sequences.values():
         end = 0
         for offset, length in sorted(items):
             assert offset == end
             end += length
         assert end <= capacity
-    # no two sequences could be one
     fill = sorted(sum(n for _, n in items) for items in sequences.values())
     assert len(fill) < 2 or fill[0] + fill[1] > capacity
+    return len(sequences)
+
+
+def best_fit_by_brute_force(counts, capacity):
+    """How many sequences best fit takes, one piece at a time, the longest first."""
+    gaps = []
+    for length in sorted((n for n, many in counts.items() for _ in range(many)), reverse=True):
+        fitting = [g for g in gaps if g >= length]
+        if fitting:
+            gaps.remove(min(fitting))
+            gaps.append(min(fitting) - length)
+        else:
+            gaps.append(capacity - length)
+    return len(gaps)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(1, 60), st.dictionaries(st.integers(1, 60), st.integers(1, 40), min_size=1, max_size=12))
+def test_one_sweep_is_best_fit(capacity, counts):
+    counts = {min(k, capacity): v for k, v in counts.items()}
+    swept = packing.sweep([(k, 0, v) for k, v in counts.items()], [], capacity, 0)
+    assert not swept.left
+    assert check_plan(swept.placed, counts, capacity) == best_fit_by_brute_force(counts, capacity)
+
+
+def test_sweeps_without_gaps_leave_pieces():
+    swept = packing.sweep([(5, 0, 3), (2, 0, 2)], [(6, 100, 2)], 10)
+    assert swept.left == [(2, 0, 2), (5, 2, 1)] or swept.left == [(5, 2, 1), (2, 0, 2)]
+    assert sorted(swept.placed) == [packing.Run(5, 0, 2, 100, 4)]
+    assert swept.gaps == [(1, 100, 2)]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_rounds_give_a_plan_like_best_fit(spark, seed):
+    r = random.Random(seed)
+    capacity = r.choice([7, 40, 100, 100])
+    counts = {} if seed == 4 else {r.randint(1, capacity): r.randint(1, 30) for _ in range(r.randint(1, 40))}
+    totals = spark.createDataFrame(list(counts.items()), "length int, n long")
+    runs = [packing.Run(*x) for x in packing.best_fit(Store(spark, "test"), totals, capacity).select(*packing.Run._fields).collect()]
+    many = check_plan(runs, counts, capacity)
+    assert many <= best_fit_by_brute_force(counts, capacity) * 1.02 + 1
 
 
 @pytest.fixture(scope="module")
