@@ -10,7 +10,7 @@
    dealt out by ranges of size, and each range sweeps on its own: a piece takes its successor, the smallest gap that
    holds it, gaps are updated, and pieces that want the same gaps take them in the order of length and rank.  What finds
    no gap in its range meets the gaps of the wider range in the next sweep; the last one spans all sizes, and what
-   finds none there opens new sequences.  Gaps go on to the next round, through the shared folder.
+   finds none there opens new sequences.  Gaps and placed runs go on to the next round in a shuffle.
 4. Each run of ranks knows its sequences and offset; pieces look up their run by length and rank.
 
 The driver holds no run and no piece.  Runs are at most about as many as pairs of lengths and gaps.
@@ -26,7 +26,7 @@ import base64
 import re
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache, reduce
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -182,38 +182,36 @@ def sweep(pieces: list[tuple[int, int, int]], gaps: list[tuple[int, int, int]],
     return out
 
 
-def _range_sweep(capacity: int, opened: int | None) -> Callable[[pa.Table], pa.Table]:
-    """For a range of sizes: its pieces take its gaps; placed runs pass."""
-    return lambda table: _sweep_range(table, capacity, opened)
+def _range_sweep(capacity: int, lower: int, opened: int | None) -> Callable[[pa.Table], pa.Table]:
+    """For a range of sizes: its pieces longer than ``lower`` take its gaps; placed runs and shorter pieces pass."""
 
+    def run(table: pa.Table) -> pa.Table:
+        rows = list(zip(*(table.column(c).to_pylist() for c in ("kind", "size", "at", "n", "sequence", "offset")), strict=True))
+        pieces, gaps = [r[1:4] for r in rows if r[0] == PIECE and r[1] > lower], [r[1:4] for r in rows if r[0] == GAP]
+        swept = sweep(pieces, gaps, capacity, opened)
+        out = [r for r in rows if r[0] == PLACED or (r[0] == PIECE and r[1] <= lower)]
+        out += [(PLACED, r.length, r.first, r.last - r.first, r.sequence, r.offset) for r in swept.placed]
+        out += [(GAP, *g, 0, 0) for g in swept.gaps] + [(PIECE, *p, 0, 0) for p in swept.left]
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        names = ["kind", "size", "at", "n", "sequence", "offset"]
+        return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=names)
 
-def _sweep_range(table: pa.Table, capacity: int, opened: int | None) -> pa.Table:
-    rows = list(zip(*(table.column(c).to_pylist() for c in ("kind", "size", "at", "n", "sequence", "offset")), strict=True))
-    swept = sweep([r[1:4] for r in rows if r[0] == PIECE], [r[1:4] for r in rows if r[0] == GAP], capacity, opened)
-    out = [r for r in rows if r[0] == PLACED]
-    out += [(PLACED, r.length, r.first, r.last - r.first, r.sequence, r.offset) for r in swept.placed]
-    out += [(GAP, *g, 0, 0) for g in swept.gaps] + [(PIECE, *p, 0, 0) for p in swept.left]
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["kind", "size", "at", "n", "sequence", "offset"]
-    return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=names)
+    return run
 
 
-def best_fit(store: Store, totals: DataFrame, capacity: int) -> DataFrame:
+def best_fit(totals: DataFrame, capacity: int) -> DataFrame:
     """length, first, last, sequence, offset of all runs of pieces, from how many pieces (n) each length has."""
-    whole = totals.select(F.lit(PIECE).alias("kind"), F.col("length").alias("size"), F.lit(0).cast("long").alias("at"), "n", F.lit(0).cast("long").alias("sequence"), F.lit(0).cast("long").alias("offset"))
-    gaps, placed, upper = None, [], capacity
+    zero = F.lit(0).cast("long")
+    rows = totals.select(F.lit(PIECE).alias("kind"), F.col("length").alias("size"), zero.alias("at"), "n", zero.alias("sequence"), zero.alias("offset"))
+    narrow, lower = max(1, capacity // RANGES), capacity
     for number in range(ROUNDS):
-        lower = upper // STEP if number < ROUNDS - 1 else 0
-        rows = whole.where((F.col("size") > lower) & (F.col("size") <= upper))
-        rows = rows if gaps is None else rows.union(gaps)
-        for width in (max(1, capacity // RANGES), capacity + 1):
-            opened = number << 48 if width > capacity else None  # the last range holds all gaps, so what finds none there opens
-            ranged = rows.withColumn("range", F.floor(F.col("size") / F.lit(width)))
-            rows = ranged.groupBy("range").applyInArrow(_range_sweep(capacity, opened), STATE)
-        state = store.save(rows, 1)
-        placed.append(state.where(F.col("kind") == PLACED).select(F.col("size").alias("length"), F.col("at").alias("first"), (F.col("at") + F.col("n")).alias("last"), "sequence", "offset"))
-        gaps, upper = state.where(F.col("kind") == GAP), lower
-    return reduce(DataFrame.union, placed)
+        lower = lower // STEP if number < ROUNDS - 1 else 0
+        for opened in (None, number << 48) if number else (0,):  # nothing is open before the first sequences
+            own = F.floor(F.col("size") / F.lit(narrow))
+            # the sweep that opens sequences spans all sizes, so what finds no gap there has none
+            wide = own if opened is None else F.when((F.col("kind") == GAP) | ((F.col("kind") == PIECE) & (F.col("size") > lower)), -1).otherwise(own)
+            rows = rows.withColumn("range", wide).groupBy("range").applyInArrow(_range_sweep(capacity, lower, opened), STATE)
+    return rows.where(F.col("kind") == PLACED).select(F.col("size").alias("length"), F.col("at").alias("first"), (F.col("at") + F.col("n")).alias("last"), "sequence", "offset")
 
 
 def pack(docs: DataFrame, files: Tokenizer, capacity: int = 1024, end: int = 2, with_ids: bool = False) -> DataFrame:
@@ -226,7 +224,7 @@ def pack(docs: DataFrame, files: Tokenizer, capacity: int = 1024, end: int = 2,
     counts = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = store.save(counts.select("length", "part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
-    runs = best_fit(store, counts.groupBy("length").agg(F.sum("n").alias("n")), capacity)
+    runs = store.save(best_fit(counts.groupBy("length").agg(F.sum("n").alias("n")), capacity), 1)
     if runs.count() <= MAX_RUNS:
         runs = F.broadcast(runs)
     # counts grow with the tasks, so they are not to be sent to all of them however small their file is

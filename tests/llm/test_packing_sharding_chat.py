@@ -13,7 +13,6 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from citeweave.llm import chat_template, packing, queries, sharding
-from citeweave.llm._store import Store
 
 from ..oracle import duck_rows
 from . import edge
@@ -75,7 +74,7 @@ def test_rounds_give_a_plan_like_best_fit(spark, seed):
     capacity = r.choice([7, 40, 100, 100])
     counts = {} if seed == 4 else {r.randint(1, capacity): r.randint(1, 30) for _ in range(r.randint(1, 40))}
     totals = spark.createDataFrame(list(counts.items()), "length int, n long")
-    runs = [packing.Run(*x) for x in packing.best_fit(Store(spark, "test"), totals, capacity).select(*packing.Run._fields).collect()]
+    runs = [packing.Run(*x) for x in packing.best_fit(totals, capacity).select(*packing.Run._fields).collect()]
     many = check_plan(runs, counts, capacity)
     assert many <= best_fit_by_brute_force(counts, capacity) * 1.02 + 1
 
