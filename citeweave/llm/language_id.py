@@ -8,7 +8,8 @@ marked ``rejected``; the prediction itself stays the nearest language.
 The centroids and idf are fitted on at most ``PER_LANGUAGE`` texts of each language and ``MAX_DOCS`` in all, stated
 bounds: the ids of the language are cut into that many hash cells and each cell gives one text, an aggregate that hot
 languages do not slow down.  ``MAX_DOCS`` is shared out by language: all first cells come before all second ones, so
-languages with few texts keep theirs, and each language keeps one even if there are more than ``MAX_DOCS``.  Scoring covers whole texts of all rows without a shuffle.
+languages with few texts keep theirs, and each language keeps one even if there are more than ``MAX_DOCS``.  Repeats of a
+row count once.  Scoring covers whole texts of all rows without a shuffle.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0; so is any text if nothing was learned; a
 text with letters but no trigram of them takes the language with the most training texts of the cells; rows repeating a
@@ -101,11 +102,11 @@ def _buffers(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for _, data, at in _buffers(batch.column(1)):
+        for _, data, at in _buffers(batch.column(3)):
             for row in gram_counts(data, at):
                 place = np.flatnonzero(row)
                 out.append(np.stack([place, row[place]]).astype(np.int32).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["lang", "grams"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], names=["doc_id", "code", "lang", "grams"])
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -136,22 +137,23 @@ def held_out(doc_id: Column, folds: int = 4, fold: int = 2) -> Column:
 
 def fit(docs: DataFrame) -> Model:
     """Learns from text and lang of rows that are not held out."""
-    doc_id = F.col("doc_id").cast("long")
-    cell = F.struct(F.xxhash64(doc_id).alias("h"), doc_id.alias("doc_id"))
-    ids = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(doc_id))
-    ids = ids.groupBy("lang", F.pmod(F.xxhash64(doc_id), F.lit(PER_LANGUAGE)).alias("cell")).agg(F.min(cell).alias("c"))
+    doc_id, lang, text = F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string")
+    rows = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(doc_id))
+    rows = rows.select(doc_id.alias("doc_id"), lang.alias("lang"), F.xxhash64(text).alias("code"), text.alias("text"))
+    cell = F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", "code")
+    ids = rows.groupBy("lang", F.pmod(F.xxhash64("doc_id"), F.lit(PER_LANGUAGE)).alias("cell")).agg(F.min(cell).alias("c"))
     # PER_LANGUAGE small rows of each language; of these, MAX_DOCS pairs, or one pair of each language if these are more
     ids = ids.withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy("c")))
     ids = ids.withColumn("place", F.row_number().over(Window.orderBy("turn", "c", "lang"))).where((F.col("turn") == 1) | (F.col("place") <= MAX_DOCS))
-    ids = ids.select(F.col("c.doc_id").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-    texts = docs.select(doc_id.alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(ids), ["doc_id", "lang"]).where("text is not null").select("lang", "text").mapInArrow(_count, "lang string, grams binary").collect()
-    rows.sort(key=lambda r: (r["lang"], bytes(r["grams"])))
-    counts = np.zeros((len(rows), SIZE), np.int32)
-    for i, r in enumerate(rows):
+    ids = ids.select("c.doc_id", "c.code", "lang")
+    counted = rows.join(F.broadcast(ids), ["doc_id", "code", "lang"]).select("doc_id", "code", "lang", "text").mapInArrow(_count, "doc_id long, code long, lang string, grams binary")
+    found = counted.dropDuplicates(["doc_id", "code", "lang"]).collect()  # as many as ids, however often a row is repeated
+    found.sort(key=lambda r: (r["lang"], bytes(r["grams"])))
+    counts = np.zeros((len(found), SIZE), np.int32)
+    for i, r in enumerate(found):
         place, n = np.frombuffer(r["grams"], np.int32).reshape(2, -1)
         counts[i, place] = n
-    return train(counts, [r["lang"] for r in rows])
+    return train(counts, [r["lang"] for r in found])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -7,7 +7,7 @@ When the bracket turns negative, the step goes the other way on it, as the metho
 score an estimate of the probability of label 1.
 
 Training sees at most ``MAX_POSITIVE`` positives and ``MAX_UNLABELLED`` other texts, stated bounds, chosen by hash among
-training rows.  Scoring covers whole texts of all rows without a shuffle.
+training rows; rows that share a doc_id count as one of them.  Scoring covers whole texts of all rows without a shuffle.
 
 Defined results: null and empty texts are scored as texts without words; without a positive or an unlabelled training
 row every score is the prior (0.5 if there are no labels); rows repeating a doc_id are scored each; a null doc_id is not
@@ -99,8 +99,8 @@ def held_out(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [x.tobytes() for w in _text.word_tables(batch.column(1)) for x in text_features(w)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["positive", "x"])
+        rows = [x.tobytes() for w in _text.word_tables(batch.column(2)) for x in text_features(w)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(rows, pa.binary())], names=["doc_id", "positive", "x"])
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -109,13 +109,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(doc_id)).groupBy(doc_id.alias("doc_id")).agg(F.max("quality").alias("q"))
     share = marks.agg(F.avg("q").alias("p")).first()["p"]
     prior = 0.5 if share is None else float(share)
-    trusted = marks.where("q = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_POSITIVE).select("doc_id", F.lit(True).alias("positive"))
+    order = F.xxhash64("doc_id"), F.col("doc_id")
+    trusted = marks.where("q = 1").orderBy(*order).limit(MAX_POSITIVE).select("doc_id", F.lit(True).alias("positive"))
     others = docs.where(F.col("doc_id").isNotNull() & ~held_out(doc_id)).select(doc_id.alias("doc_id"))
-    others = others.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_UNLABELLED).select("doc_id", F.lit(False).alias("positive")).distinct()
-    # MAX_POSITIVE + MAX_UNLABELLED pairs
+    # one id of each of so many cells of the hash is found by combining before the shuffle, however often ids repeat
+    others = others.groupBy(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(8 * MAX_UNLABELLED))).agg(F.min(F.struct(F.xxhash64("doc_id"), "doc_id")["doc_id"]).alias("doc_id"))
+    others = others.orderBy(*order).limit(MAX_UNLABELLED).select("doc_id", F.lit(False).alias("positive"))
+    # MAX_POSITIVE + MAX_UNLABELLED pairs, and one row comes back for each
     chosen = F.broadcast(trusted.union(others))
     texts = docs.select(doc_id.alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
-    rows = texts.select("positive", "text").mapInArrow(_features, "positive boolean, x binary").collect()
+    found = texts.select("doc_id", "positive", "text").mapInArrow(_features, "doc_id long, positive boolean, x binary")
+    rows = found.groupBy("doc_id", "positive").agg(F.min("x").alias("x")).collect()
     rows.sort(key=lambda r: bytes(r["x"]))
     sides = [np.array([np.frombuffer(r["x"]) for r in rows if r["positive"] == side]).reshape(-1, N_FEATURES) for side in (True, False)]
     return train(*sides, prior)
