@@ -9,7 +9,8 @@ Python can be reached: names are the given variables and loop variables, a dot l
 
 Expressions: strings, whole numbers, true/false/none, names, ``a.b``, ``a[b]``, ``not and or == != < <= > >= in + - ~``,
 parentheses, filters ``trim upper lower length string``; loops know ``loop.index``, ``loop.first`` and ``loop.last``.
-Text inside ``generation`` is under the loss mask.
+Text inside ``generation`` is under the loss mask.  Loops take ``MAX_STEPS`` steps in all, and ``LOOPS`` more for each element
+of the lists given, so loops within loops end while a conversation of any number of turns is rendered.
 
 Texts and roles are escaped: a backslash is doubled, and one is put behind the first character wherever a control
 string starts, so no control string of the template stands in a text and ``unescape`` gives the text back.
@@ -40,7 +41,7 @@ TEMPLATE = (
     "{% else %}[ROLE] {{ m.role }} [TEXT] {{ m.text }} [/ROLE]{% endif %}"
     "{% endfor %}"
 )
-MAX_STEPS = 10_000_000
+MAX_STEPS, LOOPS = 10_000_000, 16
 
 
 class TemplateError(ValueError):
@@ -282,10 +283,10 @@ def fold(tree: tuple) -> tuple:
 
 
 class _Output:
-    def __init__(self) -> None:
+    def __init__(self, steps: int) -> None:
         self.parts: list[tuple[str, bool]] = []
         self.under_loss = False
-        self.steps = 0
+        self.steps = steps  # that loops may still take
 
     def put(self, text: str) -> None:
         if text:
@@ -369,8 +370,8 @@ def _statement(tree: tuple) -> Callable[[dict, _Output], None]:
         items = over(scope) or []
         inner = dict(scope)
         for i, item in enumerate(items):
-            out.steps += 1
-            if out.steps > MAX_STEPS:
+            out.steps -= 1
+            if out.steps < 0:
                 raise TemplateError("too many loop steps")
             inner[name], inner["loop"] = item, {"index": i + 1, "first": i == 0, "last": i == len(items) - 1}
             body(inner, out)
@@ -383,7 +384,7 @@ def compile_template(source: str) -> Callable[..., list[tuple[str, bool]]]:
     run = _statement(fold(parse(source)))
 
     def render(**variables: Any) -> list[tuple[str, bool]]:
-        out = _Output()
+        out = _Output(MAX_STEPS + LOOPS * sum(len(v) for v in variables.values() if isinstance(v, (list, tuple))))
         run(dict(variables), out)
         return out.parts
 
