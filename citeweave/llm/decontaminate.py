@@ -7,8 +7,9 @@ index covers the small part of the shard where a phrase may lie.  All phrases ar
 wavelet-tree ranks, occurrences are located by sampled suffix positions, and the word spans they cover are merged per
 document.  Documents are not shuffled.
 
-The benchmark is the stated query set: it goes to the tasks in blocks of at most ``block_bytes`` of text, one pass over
-the documents per block, each adding to the spans and items found before.  A pass but the last is written to the shared
+The benchmark is the stated query set: it goes to the tasks in blocks of about ``block_bytes`` of text, one pass over
+the documents per block, each adding to the spans and items found before.  A block has a phrase for each of its words at
+most, four bytes for each word of a phrase, so some 30 MB go to a task.  A pass but the last is written to the shared
 folder.
 
 Defined results: null text has no words and no hits; items without words, without text or without an id have no
@@ -27,10 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text
+from ._memory import frugal
 from ._store import Store
 from .fm_index import FMIndex
 
-SHARD_SYMBOLS = 1 << 20
+SHARD_SYMBOLS, BLOCK_BYTES = 1 << 20, 4 << 20
 _END, _BREAK, _WORDS = 0, 1, 2
 
 
@@ -50,20 +52,25 @@ def phrases_of(items: list[tuple[object, str]], window: int) -> Phrases:
     items = sorted((str(i), t) for i, t in items if i is not None and t)
     names = sorted({i for i, _ in items})
     number = {name: k for k, name in enumerate(names)}
-    found: dict[tuple[int, ...], set[int]] = {}
+    codes, owners, sizes = [np.zeros((0, window), np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     at = 0
     for w in _text.word_tables(pa.array([t for _, t in items], pa.string()), _text.NON_ALNUM, lower=True):
-        for d in range(w.n_docs):
-            words = w.code[w.word_at[d] : w.word_at[d + 1]].tolist()
-            for s in range(max(1, len(words) - window + 1)) if words else ():
-                found.setdefault(tuple(words[s : s + window]), set()).add(number[items[at + d][0]])
+        for d in np.flatnonzero(w.count):
+            words = w.code[w.word_at[d] : w.word_at[d + 1]]
+            short = max(0, window - len(words))
+            rows = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.zeros(short, np.uint64), words]), window)
+            codes.append(rows)
+            owners.append(np.full(len(rows), number[items[at + d][0]]))
+            sizes.append(np.full(len(rows), window - short))
         at += w.n_docs
-    vocabulary = np.unique(np.array([x for p in found for x in p], np.uint64))
-    symbols = np.zeros((len(found), window), np.int64)
-    for k, p in enumerate(found):
-        symbols[k, window - len(p) :] = np.searchsorted(vocabulary, np.array(p, np.uint64)) + _WORDS
-    lists = [sorted(x) for x in found.values()]
-    return Phrases(vocabulary, symbols, np.array([len(p) for p in found], np.int64), np.cumsum([0, *map(len, lists)]), np.array([x for y in lists for x in y], np.int64), names)
+    lengths, owner, rows = np.concatenate(sizes), np.concatenate(owners), np.concatenate(codes)
+    held = np.arange(window) >= (window - lengths)[:, None]
+    vocabulary = np.unique(rows[held])
+    symbols = np.where(held, np.searchsorted(vocabulary, rows) + _WORDS, 0).astype(np.int32)
+    _, first, phrase = np.unique(symbols.view(f"V{4 * window}").ravel(), return_index=True, return_inverse=True)
+    pairs = np.unique(phrase.ravel() * max(1, len(names)) + owner)
+    phrase_of, item_of = np.divmod(pairs, max(1, len(names)))
+    return Phrases(vocabulary, symbols[first], lengths[first], np.searchsorted(phrase_of, np.arange(len(first) + 1)), item_of, names)
 
 
 class _Shard:
@@ -172,7 +179,7 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> int:
     return max(1, -(-int(total) // block_bytes))
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = 8, remove: bool = False, block_bytes: int = 16 << 20) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = 8, remove: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, text (without the spans, if ``remove``), spans ([from, to) words), items, n_words, then other columns.
 
     ``docs`` needs doc_id and text; its other columns follow under a leading underscore, so that no name clashes.
@@ -191,7 +198,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 8, remove: bool =
         block = benchmark.where(F.pmod(F.xxhash64(F.col("item_id").cast("string")), F.lit(blocks)) == i)
         phrases = phrases_of([tuple(r) for r in block.select("item_id", F.col("text").cast("string")).collect()], window)
         last = i == blocks - 1
-        out = out.mapInArrow(lambda b, p=phrases, t=last and remove: _scan(b, p, t), schema)
+        out = out.mapInArrow(lambda b, p=phrases, t=last and remove: frugal(_scan(b, p, t)), schema)
         if not last:
             out = store.save(out).drop("n_words").select("doc_id", "text", "spans", "items", *(f"`_{c}`" for c in others))
     return out
