@@ -37,10 +37,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _text
+from ._memory import frugal
 from ._store import Store
 
 BANDS, ROWS, WORDS, PERCENT = 48, 6, 5, 75
 ORDERS, BLOCK, CHUNK, BITMAP_WORDS = 4, 64, 512, 1 << 16
+CELL_BYTES, SIGN_ROWS = 2 << 20, 2000
 _U = np.uint64
 
 
@@ -89,21 +91,23 @@ SIGNED = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch], bands: int, rows: int, words: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n, f1, f2, keys = [], [], [], []
-        for s in shingle_sets(batch.column(1), words):
-            n.append(len(s))
-            mixed = _text.mix(s + _U(77))
-            f1.append(np.add.reduce(mixed) if len(s) else _U(0))
-            f2.append(np.bitwise_xor.reduce(_text.mix(mixed * _U(3))) if len(s) else _U(0))
-            keys.append(band_keys(s, bands, rows) if len(s) else np.zeros(0, np.uint64))
-        sizes = np.cumsum([0, *map(len, keys)]).astype(np.int32)
-        flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        lists = pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat.view(np.int64)))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(np.array(f1, np.uint64).view(np.int64)), pa.array(np.array(f2, np.uint64).view(np.int64)), lists],
-            names=["doc_id", "n_shingles", "f1", "f2", "bands"],
-        )
+    for whole in batches:
+        for at in range(0, whole.num_rows, SIGN_ROWS):
+            batch = whole.slice(at, SIGN_ROWS)
+            n, f1, f2, keys = [], [], [], []
+            for s in shingle_sets(batch.column(1), words):
+                n.append(len(s))
+                mixed = _text.mix(s + _U(77))
+                f1.append(np.add.reduce(mixed) if len(s) else _U(0))
+                f2.append(np.bitwise_xor.reduce(_text.mix(mixed * _U(3))) if len(s) else _U(0))
+                keys.append(band_keys(s, bands, rows) if len(s) else np.zeros(0, np.uint64))
+            sizes = np.cumsum([0, *map(len, keys)]).astype(np.int32)
+            flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+            lists = pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat.view(np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(np.array(f1, np.uint64).view(np.int64)), pa.array(np.array(f2, np.uint64).view(np.int64)), lists],
+                names=["doc_id", "n_shingles", "f1", "f2", "bands"],
+            )
 
 
 CELLS = "cell long, centre boolean, id long, shingles binary"
@@ -119,9 +123,9 @@ def _to_cells(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
             for role in batch.column(2)[i].as_py():
                 rows.append((role["cell"], role["centre"], ids, packed))
                 size += len(packed)
-            if size > 1 << 23:
-                yield _cell_rows(rows)
-                rows, size = [], 0
+                if size > CELL_BYTES:
+                    yield _cell_rows(rows)
+                    rows, size = [], 0
         if rows:
             yield _cell_rows(rows)
 
@@ -189,10 +193,10 @@ def _links(store: Store, texts: DataFrame, roles: DataFrame, words: int, percent
     bitmap = roles.groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(xxhash64(id, 1), 64) as int))")).alias("bits"))
     texts = texts.select(F.col("doc_id").alias("id"), "text").withColumn("word", word).withColumn("bit", bit)
     texts = texts.join(F.broadcast(bitmap), "word").where("getbit(bits, bit) = 1").select("id", "text")
-    cells = texts.join(roles, "id").select("id", "text", "roles").mapInArrow(lambda b: _to_cells(b, words), CELLS)
+    cells = texts.join(roles, "id").select("id", "text", "roles").mapInArrow(lambda b: frugal(_to_cells(b, words)), CELLS)
     # true sorts last, so descending puts the centres first
     cells = cells.repartition("cell").sortWithinPartitions("cell", F.col("centre").desc())
-    return cells.mapInArrow(lambda b: _compare(b, percent), "a long, b long").distinct()
+    return cells.mapInArrow(lambda b: frugal(_compare(b, percent)), "a long, b long").distinct()
 
 
 def components(edges: DataFrame, store: Store) -> DataFrame:
@@ -255,7 +259,7 @@ def link(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WOR
     """doc_id, n_shingles, component_id, kept for each row."""
     store = Store(docs.sparkSession, "near-dedup")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = store.save(texts.mapInArrow(lambda b: _sign(b, bands, rows, words), SIGNED))
+    signed = store.save(texts.mapInArrow(lambda b: frugal(_sign(b, bands, rows, words)), SIGNED))
     same = ["f1", "f2", "n_shingles"]
     classes = store.save(
         signed.where("doc_id is not null and n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
