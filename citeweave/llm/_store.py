@@ -20,7 +20,8 @@ def folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if "here" not in _OWN:
         _OWN["here"] = "file://" + tempfile.mkdtemp(prefix="citeweave-")

@@ -103,7 +103,7 @@ def assign(docs: DataFrame, topology: list[Shard], grown: list[Shard] | None = N
 
 
 def oracle_sql(n: int) -> str:
-    """DuckDB's form of ``assign(documents, uniform(n), grow(uniform(n)))`` without the CRC, which DuckDB lacks."""
+    """DuckDB's form of ``assign(documents, uniform(n), grow(uniform(n)))``, with the CRC folded byte by byte."""
 
     def hexed(text: str) -> str:
         return f"('0x' || md5({text})[1:12])::BIGINT"
@@ -126,11 +126,16 @@ def oracle_sql(n: int) -> str:
         return f"CASE {whens} END"
 
     old, new = _weights(uniform(n)), _weights(grow(uniform(n)))
+    byte = "(('0x' || x)::BIGINT)"
+    crc = f"list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: {byte}), lambda s, b: xor(s >> 8, crc[(xor(s, b) & 255) + 1]), 4294967295)"
     return f"""
-WITH a AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size, coalesce(doc_id::VARCHAR, 'null') AS k FROM documents),
+WITH RECURSIVE steps AS (SELECT i, i AS v, 0 AS k FROM (SELECT unnest(range(256)) AS i)
+  UNION ALL SELECT i, xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END), k + 1 FROM steps WHERE k < 8),
+bytes AS (SELECT list(v ORDER BY i) AS crc FROM steps WHERE k = 8),
+a AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size, coalesce(doc_id::VARCHAR, 'null') AS k, xor({crc}, 4294967295) AS text_crc32 FROM documents, bytes),
 b AS (SELECT *, {level(old, 0, [])} AS r, {level(new, 0, [])} AS gr FROM a),
 c AS (SELECT *, {level(old, 1, ["r"])} AS c, {level(new, 1, ["gr"])} AS gc FROM b),
 d AS (SELECT *, {level(old, 2, ["r", "c"])} AS s, {level(new, 2, ["gr", "gc"])} AS gs FROM c)
-SELECT doc_id, size::BIGINT AS size, 'key' AS law, s::INTEGER AS shard,
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, s::INTEGER AS shard,
   row_number() OVER (PARTITION BY s ORDER BY {hexed('k')}, doc_id) - 1 AS slot,
   gs::INTEGER AS grown_shard, r::INTEGER AS region, c::INTEGER AS rack FROM d"""
