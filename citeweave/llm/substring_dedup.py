@@ -316,14 +316,15 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.hash(text), F.lit(0)).alias("code"), text.alias("text"))
 
 
-def _hot_seeds(store: Store, shared: DataFrame, hot: int) -> np.ndarray:
+def _hot_seeds(shared: DataFrame, hot: int) -> np.ndarray:
     """At most MAX_HOT seeds, all of those above a number of occurrences that is ``hot`` or the next power of two that does."""
-    totals = store.save(shared.where(F.col("total") > hot).groupBy("key").agg(F.max("total").alias("total")))
+    totals = shared.where(F.col("total") > hot).groupBy("key").agg(F.max("total").alias("total"))
     sizes = {r["size"]: r["n"] for r in totals.groupBy(F.floor(F.log2(F.col("total") - 1)).alias("size")).agg(F.count(F.lit(1)).alias("n")).collect()}  # 63 rows at most
     least = hot
     while sum(n for size, n in sizes.items() if 2**size >= least) > MAX_HOT:
         least *= 2
-    return np.sort(np.array([r["key"] for r in totals.where(F.col("total") > least).collect()], np.int64))
+    keys = totals.where(F.col("total") > least).collect() if sizes else []
+    return np.sort(np.array([r["key"] for r in keys], np.int64))
 
 
 def repeated_windows(docs: DataFrame, length: int = 20, k: int = 8, hot: int = HOT) -> DataFrame:
@@ -334,7 +335,7 @@ def repeated_windows(docs: DataFrame, length: int = 20, k: int = 8, hot: int = H
     rows = texts.mapInArrow(lambda b: frugal(_anchor_rows(b, length, k)), ANCHORS)
     rows = rows.withColumn("total", F.sum("n").over(Window.partitionBy("key"))).where("n = 0 or total > 1")
     shared = store.save(rows.select("key", "doc_id", "code", "pos", "total"))
-    hot_seeds = _hot_seeds(store, shared, hot)
+    hot_seeds = _hot_seeds(shared, hot)
     places = shared.groupBy("doc_id", "code").agg(F.collect_list("pos").alias("places"))
     seeds = texts.join(places, ["doc_id", "code"]).select("doc_id", "code", "text", "places").mapInArrow(lambda b: frugal(_seed_rows(b, length, k, hot_seeds)), SEEDS)
     return seeds.repartition("key").sortWithinPartitions("key", "doc_id", "code", "pos").mapInArrow(lambda b: frugal(_match(b, length, k)), SPANS)

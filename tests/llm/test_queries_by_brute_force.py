@@ -9,6 +9,7 @@ import re
 import numpy as np
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from citeweave.llm import language_id, near_dedup, pu_quality, queries, secret_scan
 
@@ -128,7 +129,7 @@ def test_language_by_brute_force(spark, sf):
 def test_a_hundred_thousand_rows_of_one_document_are_one_training_text(spark):
     texts = [(i, "der die das und nicht auf ein", "de") for i in range(40)] + [(100 + i, "the and of not on a one", "en") for i in range(40)]
     docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
-    one = docs.where("doc_id = 1").crossJoin(spark.range(100_000)).drop("id")
+    one = docs.where("doc_id = 1").select("*", F.explode(F.sequence(F.lit(1), F.lit(100_000)))).drop("col")
     plain, repeated = language_id.fit(docs), language_id.fit(docs.union(one))
     assert plain.languages == repeated.languages and np.array_equal(plain.centroids, repeated.centroids)
     labels = spark.createDataFrame([(i, int(i < 100)) for i, _, _ in texts], "doc_id long, quality int")
