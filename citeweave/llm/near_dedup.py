@@ -8,10 +8,13 @@
 3. Stars: in each bucket one class is the centre, by one of four hash orders, so that a large group meets several
    centres.  Every other class of the bucket whose set size allows the similarity is compared with it on the full sets.
    Links are contracted into components.
-4. A bucket may still hold classes of several components.  They are not given up: those outside the bucket's largest
-   component are compared with all classes of that component's open buckets and with one another.  This runs in cells of
-   about ``BLOCK`` such classes and ``CHUNK`` others; a task reads the sets of a cell and returns links only, so
-   no pair is ever a row, and a class is read once per block, not once per bucket or pair.
+4. A bucket may still hold classes of several components.  Each such bucket makes another star: its centre is a class
+   outside the bucket's largest component, and every class of another component than the centre's is compared with it.
+   There are ``STARS`` rounds of stars in all, each contracted before the next.
+5. What is still open then is not given up: classes outside the bucket's largest component are compared with all classes of
+   that component's open buckets and with one another.  This runs in cells of about ``BLOCK`` such classes and ``CHUNK``
+   others; a task reads the sets of a cell and returns links only, so no pair is ever a row, and a class is read once per
+   block, not once per bucket or pair.
 
 With 48 bands of 6 rows a pair of similarity 0.75 shares no bucket with probability 1e-4, one of 0.8 with 5e-7; of the
 pairs that share one, no link between components is lost and nothing is capped.
@@ -41,7 +44,7 @@ from ._memory import frugal
 from ._store import Store
 
 BANDS, ROWS, WORDS, PERCENT = 48, 6, 5, 75
-ORDERS, BLOCK, CHUNK, BITMAP_WORDS = 4, 64, 512, 1 << 16
+STARS, ORDERS, BLOCK, CHUNK, BITMAP_WORDS = 3, 4, 64, 512, 1 << 16
 CELL_BYTES, SIGN_ROWS = 2 << 20, 2000
 _U = np.uint64
 
@@ -234,17 +237,24 @@ def _star_cells(buckets: DataFrame, percent: int) -> DataFrame:
     return buckets.where(fits).select(F.inline(both))
 
 
-def _rest_cells(store: Store, buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _open(buckets: DataFrame, names: DataFrame) -> DataFrame:
+    """bucket, id, n, comp, largest, k of the classes in buckets that hold several components."""
+    rows = buckets.select("bucket", "id", "n", "k").join(names.select("id", F.col("label").alias("comp")), "id")
+    parts = rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("m"))
+    parts = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("m", "comp")).alias("most")).where("parts > 1")
+    return rows.join(parts.select("bucket", F.col("most.comp").alias("largest")), "bucket")
+
+
+def _next_stars(rows: DataFrame, turn: int) -> DataFrame:
+    """A class outside of its bucket's largest component as the centre, and all classes of other components."""
+    first = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "comp"))
+    centres = rows.where("comp <> largest").groupBy("bucket").agg(first.alias("c"))
+    rows = rows.join(centres, "bucket").where("comp <> c.comp")
+    return rows.select("bucket", "id", "n", "k", F.col("c.id").alias("c"), F.col("c.n").alias("cn"))
+
+
+def _rest_cells(store: Store, rows: DataFrame) -> DataFrame:
     """Classes outside the largest component of an open bucket, against all classes of the component's open buckets."""
-    rows = buckets.where("id <> c").select("bucket", "id")
-    if labels is None:
-        rows = rows.withColumn("comp", F.col("id"))
-    else:
-        rows = rows.join(labels.select(F.col("node").alias("id"), "label"), "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("comp"))
-    rows = store.save(rows)
-    parts = rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"))
-    parts = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("k", "comp")).alias("most")).where("parts > 1")
-    rows = rows.join(parts.select("bucket", F.col("most.comp").alias("largest")), "bucket")
     rows = store.save(rows.groupBy("largest", "id").agg(F.max(F.col("comp") != F.col("largest")).alias("outside")))
     sizes = rows.groupBy("largest").agg(F.count(F.lit(1)).alias("n"), F.count_if("outside").alias("m"))
     sizes = sizes.select("largest", F.ceil(F.col("m") / BLOCK).alias("blocks"), F.ceil(F.col("n") / CHUNK).alias("chunks"))
@@ -255,6 +265,17 @@ def _rest_cells(store: Store, buckets: DataFrame, labels: DataFrame | None) -> D
     return rows.select("id", F.explode(F.when(F.col("outside"), F.concat(reads, leads)).otherwise(reads)).alias("role"))
 
 
+def _merged(store: Store, names: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels of all classes, after links that join components."""
+    for side in ("a", "b"):
+        links = links.join(names.select(F.col("id").alias(side), F.col("label").alias("_label")), side).withColumn(side, F.col("_label")).drop("_label")
+    links = store.save(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    if links.isEmpty():
+        return names
+    found = components(links, store).select(F.col("node").alias("label"), F.col("label").alias("_label"))
+    return store.save(names.join(found, "label", "left").select("id", F.coalesce("_label", "label").alias("label")))
+
+
 def link(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row."""
     store = Store(docs.sparkSession, "near-dedup")
@@ -268,20 +289,15 @@ def link(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WOR
     first = F.min(F.struct(F.xxhash64("id", F.pmod("bucket", F.lit(ORDERS))).alias("h"), "id", "n"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), first.alias("c")).where("k > 1")
     buckets = store.save(members.join(shared.select("bucket", "k", F.col("c.id").alias("c"), F.col("c.n").alias("cn")), "bucket"))
-    links = store.save(_links(store, texts, _star_cells(buckets, percent), words, percent))
-    labels = None if links.isEmpty() else components(links, store)
-    more = _links(store, texts, _rest_cells(store, buckets, labels), words, percent)
-    names = classes.select("id", F.col("id").alias("label"))
-    if labels is not None:
-        # links between components, by their names
-        for side in ("a", "b"):
-            found = labels.select(F.col("node").alias(side), F.col("label").alias("_label"))
-            more = more.join(found, side, "left").withColumn(side, F.coalesce("_label", side)).drop("_label")
-        names = classes.join(labels.select(F.col("node").alias("id"), "label"), "id", "left").select("id", F.coalesce("label", "id").alias("label"))
-    more = store.save(more.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    if not more.isEmpty():
-        merged = components(more, store).select(F.col("node").alias("label"), F.col("label").alias("_label"))
-        names = names.join(merged, "label", "left").select("id", F.coalesce("_label", "label").alias("label"))
+    names, cells = classes.select("id", F.col("id").alias("label")), _star_cells(buckets, percent)
+    for turn in range(1, STARS + 1):
+        names = _merged(store, names, _links(store, texts, cells, words, percent))
+        held = store.save(_open(buckets, names))
+        if held.isEmpty():
+            break
+        cells = _star_cells(_next_stars(held, turn), percent) if turn < STARS else _rest_cells(store, held)
+    else:
+        names = _merged(store, names, _links(store, texts, cells, words, percent))
     known = classes.select(*same, "id").join(names, "id").select(*same, F.col("label").alias("id"))
     whole = signed.select("doc_id", *same).join(known, same, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id"))
