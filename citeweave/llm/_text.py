@@ -1,6 +1,6 @@
 """Vectorised word tables over Arrow string columns.
 
-The corpus operators see a text as UTF-8 bytes.  A chunk of consecutive texts (about a megabyte, or one longer
+The corpus operators see a text as UTF-8 bytes.  A chunk of consecutive texts (about half a megabyte, or one longer
 text) is cut into words with numpy, every word gets a 64-bit hash, and n-gram hashes are built from word hashes by
 doubling, so no Python object is made per word.  A null text has no words.
 """
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = _U(pow(int(_BASE), -1, 1 << 64))
@@ -51,15 +51,19 @@ _POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if n > CHUNK_BYTES + 4096:  # a text longer than a chunk; its table is not kept
+        return _powers_of(_BASE, n), _powers_of(_INVERSE, n)
     if len(_POWERS["up"]) < n:
-        size = max(n, CHUNK_BYTES + 4096)
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            steps = np.full(size, base)
-            steps[0] = 1
-            _POWERS[name] = np.multiply.accumulate(steps)
+        _POWERS["up"], _POWERS["down"] = _powers_of(_BASE, CHUNK_BYTES + 4096), _powers_of(_INVERSE, CHUNK_BYTES + 4096)
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
+def _powers_of(base: np.uint64, n: int) -> np.ndarray:
+    steps = np.full(n, base)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
 @dataclass
 class Words:
     """The words of consecutive texts ``first .. first + n_docs - 1`` of a batch."""

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _text
+from ._memory import frugal
 
 SIZE, CENTROIDS, PER_LANGUAGE, MAX_DOCS, ROWS = 4096, 3, 500, 4_000, 256
 _LETTERS = _text.byte_set((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
@@ -146,7 +147,7 @@ def fit(docs: DataFrame) -> Model:
     ids = ids.withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy("c")))
     ids = ids.withColumn("place", F.row_number().over(Window.orderBy("turn", "c", "lang"))).where((F.col("turn") == 1) | (F.col("place") <= MAX_DOCS))
     ids = ids.select("c.doc_id", "c.code", "lang")
-    counted = rows.join(F.broadcast(ids), ["doc_id", "code", "lang"]).select("doc_id", "code", "lang", "text").mapInArrow(_count, "doc_id long, code long, lang string, grams binary")
+    counted = rows.join(F.broadcast(ids), ["doc_id", "code", "lang"]).select("doc_id", "code", "lang", "text").mapInArrow(lambda b: frugal(_count(b)), "doc_id long, code long, lang string, grams binary")
     found = counted.dropDuplicates(["doc_id", "code", "lang"]).collect()  # as many as ids, however often a row is repeated
     found.sort(key=lambda r: (r["lang"], bytes(r["grams"])))
     counts = np.zeros((len(found), SIZE), np.int32)
@@ -159,4 +160,4 @@ def fit(docs: DataFrame) -> Model:
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score, rejected."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(lambda b: _predict(b, model), "doc_id long, lang_pred string, score double, rejected boolean")
+    return rows.mapInArrow(lambda b: frugal(_predict(b, model)), "doc_id long, lang_pred string, score double, rejected boolean")

@@ -35,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._memory import frugal
 from ._store import Store
 
 ROUNDS, STEP, RANGES, MAX_RUNS = 6, 2, 16, 200_000
@@ -61,13 +62,15 @@ def encoder(files: Tokenizer):
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer as Slow
-
-    slow = Slow.from_file(files.path)
-    slow.encode_special_tokens = True
+    slow: list = []
 
     def exact(text: str) -> np.ndarray:
-        return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+        if not slow:  # it takes a hundred megabytes of each worker, and few texts need it
+            from tokenizers import Tokenizer as Slow
+
+            slow.append(Slow.from_file(files.path))
+            slow[0].encode_special_tokens = True
+        return np.array(slow[0].encode(text, add_special_tokens=False).ids, np.uint32)
 
     if files.ranks is None:
         return exact
@@ -220,7 +223,7 @@ def pack(docs: DataFrame, files: Tokenizer, capacity: int = 1024, end: int = 2,
     store = Store(spark, "packing")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = PIECES + ", ids array<int>" * with_ids
-    pieces = store.save(texts.mapInArrow(lambda b: _pieces(b, files, capacity, end, with_ids), schema))
+    pieces = store.save(texts.mapInArrow(lambda b: frugal(_pieces(b, files, capacity, end, with_ids)), schema))
     counts = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = store.save(counts.select("length", "part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from . import _text
 from ._lines import doc_counts, line_table
+from ._memory import frugal
 
 MAX_POSITIVE, MAX_UNLABELLED, HIDDEN, THRESHOLD = 4000, 8000, 16, 0.3
 
@@ -118,7 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     # MAX_POSITIVE + MAX_UNLABELLED pairs, and one row comes back for each
     chosen = F.broadcast(trusted.union(others))
     texts = docs.select(doc_id.alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
-    found = texts.select("doc_id", "positive", "text").mapInArrow(_features, "doc_id long, positive boolean, x binary")
+    found = texts.select("doc_id", "positive", "text").mapInArrow(lambda b: frugal(_features(b)), "doc_id long, positive boolean, x binary")
     rows = found.groupBy("doc_id", "positive").agg(F.min("x").alias("x")).collect()
     rows.sort(key=lambda r: bytes(r["x"]))
     sides = [np.array([np.frombuffer(r["x"]) for r in rows if r["positive"] == side]).reshape(-1, N_FEATURES) for side in (True, False)]
@@ -134,5 +135,5 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, predicted."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = rows.mapInArrow(lambda b: _score(b, model), "doc_id long, score double")
+    scored = rows.mapInArrow(lambda b: frugal(_score(b, model)), "doc_id long, score double")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

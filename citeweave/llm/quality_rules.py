@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from . import _text
 from ._lines import LINE_FEATURES, line_table
+from ._memory import frugal
 
 PER_LABEL, MAX_LINES = 3000, 200_000
 CONTENT, BOILERPLATE = 1, 0
@@ -229,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame | None) -> Field:
         before = F.sum("n").over(Window.partitionBy("quality").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
         chosen = chosen[0].union(chosen[1]).withColumn("before", before).where(F.coalesce("before", F.lit(0)) < MAX_LINES)
         texts = texts.join(F.broadcast(chosen.select("doc_id", "code", "quality")), ["doc_id", "code"])
-        lines = texts.select("doc_id", "code", "quality", "text").mapInArrow(_line_features, "doc_id long, code long, quality int, lines binary")
+        lines = texts.select("doc_id", "code", "quality", "text").mapInArrow(lambda b: frugal(_line_features(b)), "doc_id long, code long, quality int, lines binary")
         rows = lines.dropDuplicates(["doc_id", "code"]).collect()
         rows.sort(key=lambda r: (r["doc_id"], r["code"]))
     sequences = [(np.frombuffer(r["lines"]).reshape(-1, LINE_FEATURES), r["quality"]) for r in rows if r["lines"]]
@@ -251,7 +252,7 @@ def _sequences(texts: list[str]) -> list[np.ndarray]:
 def judge(docs: DataFrame, field: Field) -> DataFrame:
     """doc_id, the base counts, base_failed, content_share, n_lines, n_content_lines, kept."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return _verdict(rows.mapInArrow(lambda b: (x.drop_columns(["text"]) for x in _judge(b, field)), "doc_id long, " + JUDGED))
+    return _verdict(rows.mapInArrow(lambda b: frugal(x.drop_columns(["text"]) for x in _judge(b, field)), "doc_id long, " + JUDGED))
 
 
 def _verdict(rows: DataFrame) -> DataFrame:
@@ -263,4 +264,4 @@ def keep(docs: DataFrame, field: Field) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
     named = docs.select(F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
     schema = f"text string, row {named.schema['row'].dataType.simpleString()}, {JUDGED}"
-    return _verdict(named.mapInArrow(lambda b: _judge(b, field), schema)).where("kept").select("row.*")
+    return _verdict(named.mapInArrow(lambda b: frugal(_judge(b, field)), schema)).where("kept").select("row.*")
