@@ -84,6 +84,39 @@ def test_member_and_filters(spark):
         extract.parse_fields(" , . ")
 
 
+def test_extraction_on_the_jvm_equals_the_walk(spark):
+    odd = {
+        "id": "W3", "doi": "10.5/x/y", "primary_location": {"source": {"id": 7}},
+        "authorships": [None, {"author": None}, {"author": {"display_name": None}}, {"author": {"display_name": "a\"b\nc"}, "affiliations": None, "institutions": "x"},
+                        {"affiliations": [{"raw_affiliation_string": "", "institution_ids": ["I1", None, "I2"]}, {}], "institutions": [{"id": "I1"}, {"ror": True, "id": 12}]}],
+    }
+    given = lines(spark, WORK, odd, "", "{broken", '{"title": "no id"}', {"id": 5}, {"id": "W4", "authorships": {"author": {"display_name": "no list"}}}, {"id": "W5", "doi": None}, "[1]", "null")
+    walked, jvm = (sorted(map(tuple, f(given, extract.PIPELINE_FIELDS + ",id,doi").collect())) for f in (extract.extract, extract.extract_jvm))
+    assert jvm == walked and len(jvm) > 15
+    for group, prefix in (("https://openalex.org/S1", None), (None, "10.5"), ("", None), (None, "")):
+        keep = {"group": group, "prefix": prefix}
+        assert sorted(map(tuple, extract.extract_jvm(given, "id", **keep).collect())) == sorted(map(tuple, extract.extract(given, "id", **keep).collect()))
+    plan = extract.extract_jvm(given, extract.PIPELINE_FIELDS)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InArrow" not in plan
+    with pytest.raises(ValueError):
+        extract.extract_jvm(given, "a.*")
+
+
+def test_unreadable_files_are_named(spark, tmp_path):
+    whole = gzip.compress(b"line\n" * 50_000)
+    for name, data in (("a.gz", whole), ("cut.gz", whole[: len(whole) // 2]), ("no.gz", b"plain"), ("b.txt", b"x")):
+        (tmp_path / name).write_bytes(data)
+    report = {r.path.rsplit("/", 1)[1]: r for r in works.file_report(spark, str(tmp_path)).collect()}
+    assert set(report) == {"a.gz", "cut.gz", "no.gz"}
+    assert (report["a.gz"].error, report["a.gz"].unpacked, report["a.gz"].length) == (None, 250_000, len(whole))
+    assert report["cut.gz"].error and report["no.gz"].error
+    assert works.file_counts(works.file_report(spark, str(tmp_path))).first().asDict() == {"files_ok": 1, "files_failed": 2}
+    assert works.file_report(spark, str(tmp_path / "none")).count() == 0
+    files = works.files_below(spark, str(tmp_path))
+    assert works.partitions_for(files) is None
+    assert works.partitions_for(files, 10) == -(-sum(r.length for r in report.values()) // 10)
+
+
 def test_native_extraction_agrees(spark):
     rows = spark.createDataFrame([(1, '{"a": "x", "b": {"c": 5}, "n": null}'), (2, "broken"), (3, '{"b": {}}')], "id int, j string")
     out = extract.extract_native(rows, "j", {"a": "$.a", "c": "$.b.c", "n": "$.n"})
