@@ -27,10 +27,29 @@ LETTERS = {
 }
 
 
+def _by_name(letter: str) -> str:
+    """A letter of a script without a table, by the last word of its Unicode name: KA of DEVANAGARI LETTER KA.
+
+    Consonants of scripts that do not write vowels are spelled out there (MEEM), so these lose what follows.  Ideographs
+    have no spelling in their names and become their code point, which keeps different ones apart.
+    """
+    name = unicodedata.name(letter, "")
+    if name.startswith("CJK "):
+        return f"u{ord(letter):x} "
+    if not unicodedata.category(letter).startswith("L") or " " not in name:
+        return ""
+    sound = name.split(" WITH ")[0].rsplit(" ", 1)[1].lower()
+    if not sound.isalpha():
+        return f"u{ord(letter):x}"
+    if name.startswith(("ARABIC ", "HEBREW ", "SYRIAC ")):
+        return "a" if sound in ("alef", "alaph") else sound[:2] if sound[:2] in ("sh", "th", "kh", "gh", "dh", "ts") else sound[0]
+    return sound
+
+
 def transliterate(text: str) -> str:
-    """Text in ASCII: compatibility decomposition without marks, then ``LETTERS``; what is left over is dropped.
+    """Text in ASCII: compatibility decomposition without marks, then ``LETTERS``, then the letters' names.
 
-    Covers Latin, Greek and Cyrillic; other scripts have no table and vanish.
+    Latin, Greek and Cyrillic have a table; of other scripts each letter gives what ``_by_name`` reads from its name.
     """
     if text.isascii():
         return text
@@ -46,6 +65,8 @@ def transliterate(text: str) -> str:
                 out.append(LETTERS[part])
             elif part.lower() in LETTERS and part.lower() != part:
                 out.append(LETTERS[part.lower()].capitalize())
+            else:
+                out.append(_by_name(part))
     return "".join(out)
 
 
@@ -70,9 +91,11 @@ _NATIVE = "^[\\x00-\\u024F]*$"
 
 def transliterate_latin(text: Column) -> Column:
     """``transliterate`` of texts without characters beyond U+024F, on the JVM."""
-    out = text
+    spelled = text
     for letter, plain in _SEVERAL.items():
-        out = F.replace(out, F.lit(letter), F.lit(plain))
+        spelled = F.replace(spelled, F.lit(letter), F.lit(plain))
+    # few texts hold such a letter, and one look tells
+    out = F.when(text.rlike(f"[{''.join(_SEVERAL)}]"), spelled).otherwise(text)
     return F.when(text.rlike("^[\\x00-\\x7F]*$"), text).otherwise(F.translate(out, _SINGLE + _GONE, _BECOMES))
 
 
@@ -98,13 +121,17 @@ def _query_udf(text: pd.Series) -> pd.Series:
     return text.map(lambda x: None if x is None else normalize_query(x))
 
 
+#: White space of ASCII as Python has it; the JVM's own leaves U+001C to U+001F out.
+_SPACE = "[\\s\\x1c-\\x1f]"
+
+
 def _trimmed(text: Column) -> Column:
     """Without white space at both ends, tabs and newlines included."""
-    return F.regexp_replace(text, "^\\s+|\\s+$", "")
+    return F.regexp_replace(text, f"^{_SPACE}+|{_SPACE}+$", "")
 
 
 def _native(text: Column) -> Column:
-    return _trimmed(F.regexp_replace(F.lower(transliterate_latin(text)), "[^\\w\\s]", ""))
+    return _trimmed(F.regexp_replace(F.lower(transliterate_latin(text)), "[^\\w\\s\\x1c-\\x1f]", ""))
 
 
 def normalized(text: Column, at: str = "query") -> Column:

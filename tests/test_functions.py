@@ -19,7 +19,7 @@ def test_normalize_golden():
 
 def test_query_and_ingest_differ_on_text_without_latin():
     assert text.normalize_query("大学") == "大学"
-    assert text.normalize_ingest("大学") == ""
+    assert text.normalize_ingest("大学") == "u5927 u5b66"
 
 
 @pytest.mark.parametrize("at", ["query", "ingest"])
@@ -149,3 +149,16 @@ def test_human_names():
     assert parse("Madonna")[:3] == ("madonna", "", "")
     assert parse("José García").normalized == "jose  garcia"
     assert parse("")[:3] == ("", "", "")
+
+
+def test_no_script_collapses_into_the_blank_key():
+    names = ["大学", "東京大学", "جامعة القاهرة", "서울대학교", "प्रयाग विश्वविद्यालय", "とうきょう", "אוניברסיטה", "Московский университет", "มหาวิทยาลัย", "საქართველო"]
+    plain = [text.normalize_ingest(n) for n in names]
+    assert all(plain) and len(set(plain)) == len(plain) and all(p.isascii() for p in plain)
+    assert text.normalize_ingest("प्रयाग") == "parayaga" and text.transliterate("大") == "u5927 "
+
+
+def test_white_space_is_the_same_on_the_jvm(spark):
+    texts = ["a\x1cb", "\x1d a \x1f", "\x0b a\x0cb ", "a\x85b", "a\xa0b", "\tß\x1e", "x\u2003y"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.normalized(F.col("t"), "ingest").alias("n")).collect()
+    assert {r.t: r.n for r in rows} == {t: text.normalize_ingest(t) for t in texts}
