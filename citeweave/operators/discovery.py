@@ -11,7 +11,6 @@ from ..schemas import AFFILIATION_DISCOVERED, DISCOVERED_WORKS, ENTITY_DISCOVERE
 from .linkage import FIRST_AVAILABLE, ORG_MATCH
 
 BY_AFFILIATION, BY_ENTITY = "affiliation_exact", "entity_extracted"
-SMALL_ROWS = 100_000
 
 
 def exclude_known(rows: DataFrame, known: DataFrame, doi: str = "doi", work_id: str = "work_id") -> DataFrame:
@@ -26,16 +25,17 @@ def exclude_known(rows: DataFrame, known: DataFrame, doi: str = "doi", work_id:
     return rows
 
 
-def discover_by_affiliation(linkage: DataFrame, references: DataFrame, known: DataFrame, skip_blank: bool = False) -> DataFrame:
+def discover_by_affiliation(linkage: DataFrame, references: DataFrame, known: DataFrame | None, skip_blank: bool = False) -> DataFrame:
     """Works of the linked affiliations (J2) that are not among the known ids (J3); multiplicity is kept.
 
     The known works leave the reference table before the join, as the exclusion looks at nothing else.  A blank
-    affiliation meets all references without one; ``skip_blank`` leaves it out.
+    affiliation meets all references without one; ``skip_blank`` leaves it out.  ``known`` is None where the known works
+    have left ``references`` already.
     """
     links = linkage.where(F.col("linkage_status").isin(ORG_MATCH, FIRST_AVAILABLE)).withColumn("_key", F.lower(F.trim("ref_affiliation")))
     if skip_blank:
         links = links.where("_key <> ''")
-    refs = exclude_known(references, known)
+    refs = references if known is None else exclude_known(references, known)
     rows = links.join(refs, F.col("_key") == F.col("normalized_affiliation_key"))
     return rows.select(
         "input_doi", "input_work_id", "input_author_name", F.col("ref_affiliation").alias("linking_affiliation"), F.col("work_id").alias("discovered_work_id"),
@@ -73,13 +73,13 @@ def matching_keys(references: DataFrame, entities: DataFrame, organizations: Seq
 
 
 def discover_by_entities(
-    entities: DataFrame, references: DataFrame, organizations: Sequence[str], known: DataFrame, discovered: DataFrame | None = None, normalize_organizations: bool = False
+    entities: DataFrame, references: DataFrame, organizations: Sequence[str], known: DataFrame | None, discovered: DataFrame | None = None, normalize_organizations: bool = False
 ) -> DataFrame:
     """Distinct works whose affiliation holds an entity and an organization and that are not known.
 
     ``discovered`` (doi, work_id) are works found before (J4); the reference always starts with none.
     """
-    refs = exclude_known(references, known)
+    refs = references if known is None else exclude_known(references, known)
     if discovered is not None:
         refs = exclude_known(refs, discovered)
     rows = refs.join(matching_keys(references, entities, organizations, normalize_organizations), "normalized_affiliation_key")

@@ -15,8 +15,9 @@ def totals(fields: DataFrame, work: str | None = "work_id") -> DataFrame:
 
 
 def rows_per(fields: DataFrame, key: str) -> DataFrame:
-    """Rows per field, source, member or prefix."""
-    return fields.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per field, source, member or prefix, from field rows or from counts (n) of finer groups."""
+    counted = F.sum("n") if "n" in fields.columns else F.count(F.lit(1))
+    return fields.groupBy(key).agg(counted.alias("n"))
 
 
 def top_fields(fields: DataFrame, n: int = TOP_FIELDS) -> DataFrame:

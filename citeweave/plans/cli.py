@@ -25,7 +25,7 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument("-o", "--output", default="field_data.csv")
         one.add_argument("-f", "--fields", default=extract.PIPELINE_FIELDS if name == "extract" else None, required=name != "extract")
         one.add_argument("-g", "--organize", action="store_true")
-        one.add_argument("-t", "--threads", type=int, default=0, help="partitions of lines; 0: one per core")
+        one.add_argument("-t", "--threads", type=int, default=0, help="partitions of lines; 0: by the size of the files")
         one.add_argument("-b", "--batch-size", type=int, default=10_000, help="rows of an Arrow batch")
         one.add_argument("--max-open-files", type=int, default=100, help="accepted; rows are dealt by key before they are written")
         one.add_argument("--doi-prefix")
@@ -44,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("--temp-dir")
     one.add_argument("--chunk-size", type=int, help="accepted; partitions make chunks needless")
     one.add_argument("--skip-indexes", action="store_true")
+    one.add_argument("--no-quoted-newlines", action="store_true", help="many tasks may read one CSV file")
 
     one = commands.add_parser("cluster", help="clustered copies in place of indexes")
     one.add_argument("-d", "--database", required=True)
@@ -65,6 +66,7 @@ def parser() -> argparse.ArgumentParser:
     mode.add_argument("-p", "--process-file", action="store_true")
     mode.add_argument("-s", "--search-affiliation", action="store_true")
     one.add_argument("--no-udf", action="store_true", help="search without Python: terms beyond Latin script are left out")
+    one.add_argument("--single-file", action="store_true", help="one file per result, through one task; for small results")
     one.add_argument("--entities", choices=["none", "rules"], default="none")
     return top
 
@@ -91,7 +93,7 @@ def main(arguments: list[str] | None = None) -> int:
     elif args.command == "normalize":
         LOG.info("wrote %s", pipeline.normalize_file(spark, args.input, args.output))
     elif args.command == "build":
-        LOG.info("%s", pipeline.build_table(spark, args.references, args.database, cluster=not args.skip_indexes))
+        LOG.info("%s", pipeline.build_table(spark, args.references, args.database, cluster=not args.skip_indexes, splittable=args.no_quoted_newlines))
     elif args.command == "cluster":
         LOG.info("%s", pipeline.cluster_copies(spark, args.database, args.indexes))
     elif args.command == "verify":
@@ -102,11 +104,12 @@ def main(arguments: list[str] | None = None) -> int:
         chosen = settings.load(settings.checked_path(args.config), need_input=args.process_file)
         source, target = settings.checked_path(args.input), settings.checked_path(args.output, output=True)
         if args.process_file:
-            LOG.info("%s", pipeline.process_file(spark, source, target, references, chosen, entities.by_rules if args.entities == "rules" else entities.no_entities))
+            extractor = entities.by_rules if args.entities == "rules" else entities.no_entities
+            LOG.info("%s", pipeline.process_file(spark, source, target, references, chosen, extractor, args.single_file))
         elif not chosen.affiliation_name:
             raise settings.ConfigError("affiliation_search_columns needs affiliation_name")
         else:
-            pipeline.search_file(spark, source, target, references, chosen.affiliation_name)
+            pipeline.search_file(spark, source, target, references, chosen.affiliation_name, args.single_file)
     return 0
 
 

@@ -19,39 +19,45 @@ def extract_fields(
     spark: SparkSession, folder: str, output: str, fields: str = extract.PIPELINE_FIELDS, flavour: extract.Flavour = extract.WORK, organize: bool = False,
     group: str | None = None, prefix: str | None = None, partitions: int | None = None,
 ) -> DataFrame | None:
-    """Field rows of all works below a folder as CSV, per source or member if ``organize``; returns what was written.
+    """Field rows of all works below a folder as CSV, or Parquet if ``output`` ends so; CSV per source or member if
+    ``organize``.  Returns what was written.
 
     Without any file there is nothing to do and None comes back.
     """
     pattern = "*.gz" if flavour is extract.WORK else "*.jsonl.gz"
-    lines = works.read_lines(spark, folder, pattern, partitions or spark.sparkContext.defaultParallelism)
+    lines = works.read_lines(spark, folder, pattern, partitions or works.partitions_for(works.files_below(spark, folder, pattern)))
     if lines.isEmpty():
         return None
-    rows = extract.extract(lines, fields, flavour, group, prefix)
-    if organize:
-        sinks.write_organized(rows, output, "source_id" if flavour is extract.WORK else "member_id")
-    else:
-        sinks.write_csv(rows, output)
-    return rows
+    # the fields of the pipeline hold strings, which need no Python
+    native = flavour is extract.WORK and set(extract.parse_fields(fields)) <= set(extract.parse_fields(extract.PIPELINE_FIELDS))
+    rows = extract.extract_jvm(lines, fields, group, prefix) if native else extract.extract(lines, fields, flavour, group, prefix)
+    if not organize:
+        return works.read_table(spark, sinks.write_table(rows, output))
+    sinks.write_organized(rows, output, "source_id" if flavour is extract.WORK else "member_id")
+    return works.read_csv(spark, output).drop("organized_by")
 
 
 def extraction_summary(rows: DataFrame) -> dict[str, DataFrame]:
-    """What a summary of an extraction shows."""
+    """What a summary of an extraction shows, from what was written: one pass for the totals, one for all counts."""
     group = "source_id" if "source_id" in rows.columns else "member_id"
     work = "work_id" if "work_id" in rows.columns else None
-    return {"totals": stats.totals(rows, work), "top_fields": stats.top_fields(rows), "groups": stats.group_table(rows, group), "prefixes": stats.rows_per(rows, "doi_prefix")}
+    counts = rows.groupBy("field_name", group, "doi_prefix").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.DISK_ONLY)
+    return {"totals": stats.totals(rows, work), "top_fields": stats.top_fields(counts), "groups": stats.group_table(counts, group), "prefixes": stats.rows_per(counts, "doi_prefix")}
 
 
 def normalize_file(spark: SparkSession, path: str, output: str | None = None) -> str:
-    """E2, first half: field rows in CSV to author x affiliation rows in CSV."""
-    rows = normalize.normalize_works(works.read_csv(spark, path))
-    return sinks.write_csv(normalize.in_order(rows), output or sinks.processed_name(path))
+    """E2, first half: field rows to author x affiliation rows, each in CSV or Parquet as the names say."""
+    rows = normalize.normalize_works(works.read_table(spark, path))
+    return sinks.write_table(normalize.in_order(rows), output or sinks.processed_name(path))
 
 
-def build_table(spark: SparkSession, source: str | DataFrame, output: str, cluster: bool = True) -> dict[str, int]:
+def build_table(spark: SparkSession, source: str | DataFrame, output: str, cluster: bool = True, splittable: bool = False) -> dict[str, int]:
     """E2, second half: the validated reference table as Parquet in ``output/author_references``, and the first rejects
-    in ``output/import_errors``.  The table is clustered by affiliation key, which replaces indexes."""
-    staged = works.read_csv_or_plain(spark, source, AUTHOR_AFFILIATIONS.names) if isinstance(source, str) else source
+    in ``output/import_errors``.  The table is clustered by affiliation key, which replaces indexes.  ``splittable`` says
+    that no value of the CSV holds a newline, so that many tasks can read one file; Parquet is read by many anyway."""
+    staged = source
+    if isinstance(source, str):
+        staged = works.read_table(spark, source, True) if splittable or source.endswith(".parquet") else works.read_csv_or_plain(spark, source, AUTHOR_AFFILIATIONS.names)
     staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sinks.write_references(build.build_references(staged), f"{output}/author_references", ["normalized_affiliation_key", "doi"] if cluster else None)
@@ -81,8 +87,13 @@ def verify(spark: SparkSession, output: str, sample: int = 10) -> dict[str, Data
 class Processed:
     """E3's results as DataFrames."""
 
-    def __init__(self, linked: DataFrame, mappings: DataFrame | None, by_affiliation: DataFrame, by_entity: DataFrame) -> None:
-        self.linkage, self.mappings, self.by_affiliation, self.by_entity = linked, mappings, by_affiliation, by_entity
+    def __init__(self, linked: DataFrame, mappings: DataFrame | None, by_affiliation: DataFrame, by_entity: DataFrame, kept: list[DataFrame]) -> None:
+        self.linkage, self.mappings, self.by_affiliation, self.by_entity, self.kept = linked, mappings, by_affiliation, by_entity, kept
+
+    def release(self) -> None:
+        """Frees what ``process`` kept."""
+        for rows in self.kept:
+            rows.unpersist()
 
     @property
     def found(self) -> DataFrame:
@@ -105,24 +116,30 @@ def process(
     inputs = linkage.input_authors(user, config.authors, config.author_separator, config.doi, config.work_id)
     linked = linkage.link_authors(inputs, references, config.organization_names, config.input_name_style, config.reference_name_style, config.name_matching_threshold).persist()
     by_affiliation = discovery.discover_by_affiliation(linked, references, known, config.ignore_blank_affiliations).persist()
+    kept = [linked, by_affiliation]
     mappings, by_entity = None, spark.createDataFrame([], ENTITY_DISCOVERED)
     if config.entity_extraction_enabled and config.organization_names:
         extracted = entities.extract_entities(entities.original_affiliations(linked, references), extractor, prepare).persist()
+        kept.append(extracted)
         mappings = entities.entity_mappings(extracted)
         if config.use_entity_discovery:
             keys = entities.entity_keys(extracted, config.organization_names, config.entity_matching_threshold)
             by_entity = discovery.discover_by_entities(keys, references, config.organization_names, known, normalize_organizations=config.normalize_org_names).persist()
-    return Processed(linked, mappings, by_affiliation, by_entity)
+            kept.append(by_entity)
+    return Processed(linked, mappings, by_affiliation, by_entity, kept)
 
 
 def process_file(
-    spark: SparkSession, path: str, output: str, references: DataFrame, config: Config, extractor: entities.Extractor = entities.no_entities, single: bool = True
-) -> dict[str, int]:
+    spark: SparkSession, path: str, output: str, references: DataFrame, config: Config, extractor: entities.Extractor = entities.no_entities, single: bool = False,
+    prepare: Callable[[], entities.Extractor] | None = None,
+) -> dict[str, int]:
     """E3 with files: writes the linkage, mappings and discovered works beside ``output`` and returns counts.
 
+    Each result is a folder of files in order; ``single`` makes it one file, through one task.
+
     Discovered works and mappings are not written where there are none.
     """
-    done = process(spark, works.read_csv(spark, path), references, config, extractor)
+    done = process(spark, works.read_csv(spark, path), references, config, extractor, prepare)
     paths = sinks.output_paths(output)
     sinks.write_csv(sinks.export_order(done.linkage), paths["linkage"], single)
     counts = {r["linkage_status"]: r["n"] for r in done.linkage.groupBy("linkage_status").agg(F.count(F.lit(1)).alias("n")).collect()}  # three statuses
@@ -132,10 +149,11 @@ def process_file(
     if not found.isEmpty():
         sinks.write_csv(discovery.export_works(found), paths["discovered"], single)
         counts |= {r["match_type"]: r["work_count"] for r in discovery.match_counts(found).collect()}  # two kinds
+    done.release()
     return counts
 
 
-def search_file(spark: SparkSession, path: str, output: str, references: DataFrame, column: str, single: bool = True) -> str:
+def search_file(spark: SparkSession, path: str, output: str, references: DataFrame, column: str, single: bool = False) -> str:
     """E4."""
     terms = works.read_csv(spark, path)
     found = search.search_affiliations(terms, checked_column(column, terms.columns), references)

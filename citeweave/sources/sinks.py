@@ -11,7 +11,7 @@ SUFFIXES = {
 
 
 def _csv(df: DataFrame):
-    return df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "")
+    return df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
 
 
 def write_csv(df: DataFrame, path: str, single: bool = False) -> str:
@@ -37,14 +37,22 @@ def safe_key(key: Column) -> Column:
     return F.regexp_replace(F.when(F.coalesce(key, F.lit("")) == "", "unknown").otherwise(key), "[^A-Za-z0-9._-]+", "_")
 
 
-def write_organized(df: DataFrame, path: str, key: str, hot_files: int = 1) -> str:
+def write_organized(df: DataFrame, path: str, key: str) -> str:
     """K2: one folder per source or member.
 
-    Rows are dealt by key, so each folder gets one file; ``hot_files`` deals the rows of each key over so many tasks.
+    Rows are dealt by key, so a folder of usual size gets one file.  Adaptive execution splits a key that holds more than
+    a partition should, and puts small ones together, by the sizes that the shuffle measured.
     """
     rows = df.withColumn("organized_by", safe_key(F.col(key)))
-    salt = [] if hot_files <= 1 else [F.pmod(F.xxhash64(*df.columns), F.lit(hot_files))]
-    _csv(rows.repartition("organized_by", *salt)).partitionBy("organized_by").csv(path)
+    _csv(rows.hint("rebalance", F.col("organized_by"))).partitionBy("organized_by").csv(path)
+    return path
+
+
+def write_table(df: DataFrame, path: str) -> str:
+    """A table between the entry points: Parquet where the name says so, which any number of tasks can read, else CSV."""
+    if not path.rstrip("/").endswith(".parquet"):
+        return write_csv(df, path)
+    df.write.mode("overwrite").parquet(path)
     return path
 
 
