@@ -136,12 +136,13 @@ ENTITY_ORGANIZATIONS = ["Institute"]
 ENTITIES = [("supplier000000007 institute", "a"), ("institute unit brand13", "b")]
 
 
-def work_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order as one line of JSON, as works with a work id come."""
+def work_lines(spark: SparkSession, sf_dir: str, bare: int | None = None) -> DataFrame:
+    """Every order as one line of JSON, as works with a work id come; the last of every ``bare`` authors has no affiliation."""
+    held = F.lit(True) if bare is None else F.col("n") % bare != bare - 1
     author = F.struct(
         F.struct(F.col("name").alias("display_name")).alias("author"),
-        F.array(F.struct(F.col("affiliation").alias("raw_affiliation_string"), F.array("institution").alias("institution_ids"))).alias("affiliations"),
-        F.array(F.struct(F.col("institution").alias("id"), "ror")).alias("institutions"),
+        F.when(held, F.array(F.struct(F.col("affiliation").alias("raw_affiliation_string"), F.array("institution").alias("institution_ids")))).alias("affiliations"),
+        F.when(held, F.array(F.struct(F.col("institution").alias("id"), "ror"))).alias("institutions"),
     )
     listed = F.transform(F.array_sort(F.collect_list(F.struct("n", author.alias("a")))), lambda x: x["a"])
     works = lines(spark, sf_dir).groupBy("k").agg(listed.alias("authorships"))
@@ -149,5 +150,20 @@ def work_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("W"), F.col("k").cast("string")).alias("id"), F.concat(F.lit("https://doi.org/"), doi_of(F.col("k"))).alias("doi"), "authorships",
         F.struct(F.struct(F.concat(F.lit("S"), (F.col("k") % 5).cast("string")).alias("id")).alias("source")).alias("primary_location"),
     )
-    # parsing is the slow step, so lines are spread as those of unsplittable files are
-    return works.select(F.to_json(record).alias("line"), F.lit("orders").alias("source_file_path")).repartition(spark.sparkContext.defaultParallelism)
+    # the shuffle of the grouping deals the lines out already, so nothing is spread again before they are parsed
+    return works.select(F.to_json(record).alias("line"), F.lit("orders").alias("source_file_path"))
+
+
+def doi_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as one line of JSON, as works known by their DOI come; the member is a number, every seventh has no field."""
+    k = F.col("k")
+    author = F.struct(F.col("name").alias("family"), F.array(F.struct(F.col("affiliation").alias("name"))).alias("affiliation"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("n", author.alias("a")))), lambda x: x["a"])
+    works = lines(spark, sf_dir).groupBy("k").agg(listed.alias("authors"))
+    full = k % 7 != 0
+    cited = F.struct(F.array(F.struct(F.concat(F.lit("W"), k.cast("string")).alias("id"), k.alias("n"))).alias("cites"))
+    record = F.struct(
+        doi_of(k).alias("DOI"), (k % 5).alias("member"), F.when(k % 3 == 0, F.concat(F.lit("P"), (k % 9).cast("string"))).alias("prefix"), F.when(full, F.col("authors")).alias("author"),
+        F.when(full, F.array(F.concat(F.lit("Order "), k.cast("string")))).alias("title"), F.when(full, cited).alias("relation"),
+    )
+    return works.select(F.to_json(record).alias("line"), F.lit("orders").alias("source_file_path"))

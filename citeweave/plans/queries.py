@@ -26,7 +26,7 @@ def _registered(sql: str | None = None) -> Callable[[Query], Query]:
 
 # --- JSON extraction and pivot ---------------------------------------------------------------------------------------
 
-_EAV_SQL = "WITH " + a.STAGED_SQL + """,
+EAV_SQL = "WITH " + a.STAGED_SQL + """,
 heads AS (SELECT 'W' || k AS work_id, CASE WHEN k % 10 <> 0 THEN '10.' || (1000 + k % 9) || '/Ord.' || k ELSE '' END AS doi, 'authorships[' || n || ']' AS p,
   'S' || (k % 5) AS source_id, CASE WHEN k % 10 <> 0 THEN '10.' || (1000 + k % 9) ELSE '' END AS doi_prefix, 'orders' AS source_file_path, * EXCLUDE (k) FROM lines),
 eav AS (
@@ -38,16 +38,22 @@ eav AS (
 
 
 def _eav(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.extract(a.work_lines(spark, sf_dir), extract.PIPELINE_FIELDS)
+    return extract.extract_jvm(a.work_lines(spark, sf_dir), extract.PIPELINE_FIELDS)
 
 
-@_registered(_EAV_SQL + " SELECT * FROM eav")
+@_registered(EAV_SQL + " SELECT * FROM eav")
 def json_extract_eav(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1-X15 over one JSON line per order."""
     return _eav(spark, sf_dir)
 
 
-@_registered(_EAV_SQL + " SELECT * FROM eav WHERE source_id = 'S3' AND doi_prefix = '10.1004'")
+@_registered(EAV_SQL + " SELECT * FROM eav")
+def json_extract_walked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the walk that knows wildcards and all renderings."""
+    return extract.extract(a.work_lines(spark, sf_dir), extract.PIPELINE_FIELDS)
+
+
+@_registered(EAV_SQL + " SELECT * FROM eav WHERE source_id = 'S3' AND doi_prefix = '10.1004'")
 def json_extract_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One source and one DOI prefix."""
     return extract.extract(a.work_lines(spark, sf_dir), extract.PIPELINE_FIELDS, group="S3", prefix="10.1004")
@@ -60,7 +66,7 @@ def json_extract_native(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_registered(
-    _EAV_SQL
+    EAV_SQL
     + """ SELECT work_id, doi, n::INTEGER AS author_sequence, name AS author_name, lower(name) AS normalized_author_name, 0 AS affiliation_sequence, affiliation AS affiliation_name,
   trim(regexp_replace(lower(affiliation), '[^\\w\\s]', '', 'g')) AS normalized_affiliation_name, ror AS affiliation_ror FROM heads"""
 )
@@ -69,13 +75,13 @@ def normalize_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.normalize_works(_eav(spark, sf_dir))
 
 
-@_registered(_EAV_SQL + " SELECT work_id, n::INTEGER AS author, name AS author_name FROM heads")
+@_registered(EAV_SQL + " SELECT work_id, n::INTEGER AS author, name AS author_name FROM heads")
 def eav_pivot_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1, F13."""
     return normalize.pivot_authors(normalize.with_places(_eav(spark, sf_dir)))
 
 
-@_registered(_EAV_SQL + " SELECT work_id, n::INTEGER AS author, 0 AS affiliation, ror AS affiliation_ror FROM heads")
+@_registered(EAV_SQL + " SELECT work_id, n::INTEGER AS author, 0 AS affiliation, ror AS affiliation_ror FROM heads")
 def ror_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J9."""
     return normalize.lookup_ror(normalize.with_places(_eav(spark, sf_dir)))
@@ -84,19 +90,19 @@ def ror_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- statistics --------------------------------------------------------------------------------------------------------
 
 
-@_registered(_EAV_SQL + " SELECT field_name, count(*) AS n FROM eav GROUP BY 1 ORDER BY n DESC, 1 LIMIT 20")
+@_registered(EAV_SQL + " SELECT field_name, count(*) AS n FROM eav GROUP BY 1 ORDER BY n DESC, 1 LIMIT 20")
 def top_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The top-20 report."""
     return stats.top_fields(_eav(spark, sf_dir))
 
 
-@_registered(_EAV_SQL + " SELECT source_id, count(*) AS n FROM eav GROUP BY 1")
+@_registered(EAV_SQL + " SELECT source_id, count(*) AS n FROM eav GROUP BY 1")
 def source_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per source."""
     return stats.group_table(_eav(spark, sf_dir), "source_id")
 
 
-@_registered(_EAV_SQL + " SELECT count(*) AS total_rows, count(DISTINCT work_id) AS unique_works, count(DISTINCT nullif(doi, '')) AS unique_dois FROM eav")
+@_registered(EAV_SQL + " SELECT count(*) AS total_rows, count(DISTINCT work_id) AS unique_works, count(DISTINCT nullif(doi, '')) AS unique_dois FROM eav")
 def extraction_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2, A9."""
     return stats.totals(_eav(spark, sf_dir))
@@ -317,16 +323,27 @@ def discover_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_entity(spark, sf_dir)
 
 
+def _both_kinds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both discoveries from one table, as a run has it: it is built once, and known works leave it once."""
+    from .file_queries import scratch
+
+    references = works.references(spark, sinks.write_references(a.references(spark, sf_dir), scratch(spark)))
+    eligible = discovery.exclude_known(references, _known(spark, sf_dir))
+    keys = spark.createDataFrame(a.ENTITIES, "entity_key string, source_affiliations string")
+    by_affiliation = discovery.discover_by_affiliation(_linkage(spark, sf_dir, references), eligible, None)
+    return by_affiliation, discovery.discover_by_entities(keys, eligible, a.ENTITY_ORGANIZATIONS, None)
+
+
 @_registered(_ALL + " SELECT * FROM combined")
 def combine_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C10, U1, W1."""
-    return discovery.combine(_by_affiliation(spark, sf_dir), _by_entity(spark, sf_dir), both=True)
+    return discovery.combine(*_both_kinds(spark, sf_dir), both=True)
 
 
 @_registered(_ALL + " SELECT * FROM combined")
 def combine_priority_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 as a row number."""
-    return discovery.combine_by_row_number(_by_affiliation(spark, sf_dir), _by_entity(spark, sf_dir))
+    return discovery.combine_by_row_number(*_both_kinds(spark, sf_dir))
 
 
 @_registered(_ALL + " SELECT match_type, count(DISTINCT coalesce(work_id, doi)) AS work_count FROM combined GROUP BY 1")
@@ -338,7 +355,7 @@ def match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_registered(_ALL + " SELECT DISTINCT discovered_work_id AS work_id, discovered_doi AS doi FROM (SELECT discovered_work_id, discovered_doi FROM discovered UNION ALL SELECT discovered_work_id, discovered_doi FROM by_entity)")
 def discovered_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U2."""
-    return discovery.discovered_ids(_by_affiliation(spark, sf_dir), _by_entity(spark, sf_dir))
+    return discovery.discovered_ids(*_both_kinds(spark, sf_dir))
 
 
 @_registered(
@@ -367,20 +384,27 @@ def entity_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.entity_keys(_entities(spark, sf_dir), ["Supplier#000000007 Institute", "Institute of Physics"], threshold=85.0)
 
 
-@_registered(
-    _ALL + """ SELECT t AS input_search_term, r.work_id AS ref_work_id, r.doi AS ref_doi, r.author_name AS ref_author_name, r.normalized_affiliation_name AS ref_affiliation,
+SEARCH_SQL = _ALL + """ SELECT t AS input_search_term, r.work_id AS ref_work_id, r.doi AS ref_doi, r.author_name AS ref_author_name, r.normalized_affiliation_name AS ref_affiliation,
   r.normalized_affiliation_key AS ref_affiliation_normalized_key
   FROM (SELECT upper(s_name) || ' Institute; unit ' || 'BRAND#13' AS t, lower(replace(s_name, '#', '')) || ' institute unit brand13' AS k FROM supplier) JOIN refs r ON r.normalized_affiliation_key = k"""
-)
+
+
+@_registered(SEARCH_SQL)
 def search_affiliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One search term per supplier."""
     terms = a.table(spark, sf_dir, "supplier").select(F.concat(F.upper("s_name"), F.lit(" Institute; unit BRAND#13")).alias("t"))
     return search.search_affiliations(terms, "t", a.references(spark, sf_dir))
 
 
+def _all() -> dict[str, tuple[Query, str | None]]:
+    from . import file_queries
+
+    return _FOUND | file_queries.FOUND
+
+
 def queries() -> dict[str, Query]:
-    return {name: query for name, (query, _) in _FOUND.items()}
+    return {name: query for name, (query, _) in _all().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _FOUND.items() if sql}
+    return {name: sql for name, (_, sql) in _all().items() if sql}
