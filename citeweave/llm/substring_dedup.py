@@ -336,14 +336,14 @@ def repeated_windows(docs: DataFrame, length: int = 20, k: int = 8, hot: int = H
     rows = rows.withColumn("total", F.sum("n").over(Window.partitionBy("key"))).where("n = 0 or total > 1")
     shared = store.save(rows.select("key", "doc_id", "code", "pos", "total"))
     hot_seeds = _hot_seeds(shared, hot)
-    places = shared.groupBy("doc_id", "code").agg(F.collect_list("pos").alias("places"))
+    places = shared.groupBy("doc_id", "code").agg(F.collect_set("pos").alias("places"))
     seeds = texts.join(places, ["doc_id", "code"]).select("doc_id", "code", "text", "places").mapInArrow(lambda b: frugal(_seed_rows(b, length, k, hot_seeds)), SEEDS)
     return seeds.repartition("key").sortWithinPartitions("key", "doc_id", "code", "pos").mapInArrow(lambda b: frugal(_match(b, length, k)), SPANS)
 
 
 def remove_repeats(docs: DataFrame, length: int = 20, k: int = 8, hot: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text (kept words joined by one space), removed_spans ([from, to) word spans)."""
-    spans = repeated_windows(docs, length, k, hot).groupBy("doc_id", "code").agg(F.collect_list(F.struct("pos", "n")).alias("spans"))
+    spans = repeated_windows(docs, length, k, hot).groupBy("doc_id", "code").agg(F.collect_set(F.struct("pos", "n")).alias("spans"))
     texts = _texts(docs)
     cut = texts.where("doc_id is not null").join(spans, ["doc_id", "code"], "left").select("doc_id", "text", "spans").mapInArrow(lambda b: frugal(_cut(b, length)), CUT)
     bare = texts.where("doc_id is null").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))

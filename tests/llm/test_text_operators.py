@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from citeweave.llm import decontaminate, fm_index, language_id, pu_quality, quality_rules, queries, secret_scan
+from citeweave.llm import chat_template, decontaminate, fm_index, language_id, pu_quality, quality_rules, queries, secret_scan
 
 from . import edge
 
@@ -385,3 +385,19 @@ def test_pu_risk_separates_with_positives_only():
     unlabelled = np.concatenate([r.normal(1, 1, (700, n)), r.normal(-1, 1, (300, n))])
     model = pu_quality.train(positive, unlabelled, 0.7)
     assert pu_quality.score(model, positive).mean() > 0.9 > 0.2 > pu_quality.score(model, negative).mean()
+
+
+def test_other_tables_may_have_columns_with_clashing_names(spark):
+    docs = edge.docs(spark)
+    labels = spark.createDataFrame([(5, 1), (7, 1), (9, 0), (13, 0), (None, 1)], "doc_id long, quality int")
+    more = labels.selectExpr("*", *(f"'x' as `{c}`" for c in ("text", "code", "lang", "positive", "x", "lines", "n", "before", "q", "p", "_known")))
+    for fit in (quality_rules.fit, pu_quality.fit):
+        assert all(np.array_equal(a, b) for a, b in zip(fit(docs, labels), fit(docs, more), strict=True))
+    benchmark = spark.createDataFrame([("a", edge.words(30, 2)), ("b", edge.words(40, 3)), ("c", None), (None, "x y")], "item_id string, text string")
+    wide = benchmark.selectExpr("*", *(f"'x' as `{c}`" for c in ("doc_id", "spans", "items", "n_words", "n", "_text")))
+    plain, clashing = (sorted(map(repr, decontaminate.report(docs, b).collect())) for b in (benchmark, wide))
+    assert plain == clashing
+    turns = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, None, None)], "conv_id long, turn long, role string, text string")
+    wide = turns.selectExpr("*", *(f"'x' as `{c}`" for c in ("formatted", "loss_spans", "doc_id", "n", "loss_chars")))
+    plain, clashing = (sorted(map(repr, chat_template.format_conversations(t).collect())) for t in (turns, wide))
+    assert plain == clashing
