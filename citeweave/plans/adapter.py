@@ -22,18 +22,33 @@ def doi_of(order: Column) -> Column:
     return F.when(order % 10 != 0, F.concat(F.lit("10."), (1000 + order % 9).cast("string"), F.lit("/Ord."), order.cast("string")))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """order, line number (made unique), part name, affiliation name, institution of every line."""
+def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order, line number (made unique) and what the tables have for the part and the supplier of every line."""
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     window = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     rows = items.withColumn("n", F.row_number().over(window) - 1)
     rows = rows.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-    return rows.select(
-        F.col("l_orderkey").alias("k"), "n", F.col("p_name").alias("name"), F.concat("s_name", F.lit(" Institute, Unit "), "p_brand").alias("affiliation"),
-        F.concat(F.lit("https://ror.org/"), F.col("s_nationkey").cast("string")).alias("ror"), F.concat(F.lit("I"), F.col("s_nationkey").cast("string")).alias("institution"),
-    )
+    return rows.select(F.col("l_orderkey").alias("k"), "n", F.col("p_name").alias("name"), "s_name", "p_brand", "s_nationkey")
+
+
+def _affiliation(supplier: Column, brand: Column) -> Column:
+    return F.concat(supplier, F.lit(" Institute, Unit "), brand)
+
+
+def _ror(nation: Column) -> Column:
+    return F.concat(F.lit("https://ror.org/"), nation.cast("string"))
+
+
+def _institution(nation: Column) -> Column:
+    return F.concat(F.lit("I"), nation.cast("string"))
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order, line number (made unique), part name, affiliation name, institution of every line."""
+    nation = F.col("s_nationkey")
+    return _joined(spark, sf_dir).select("k", "n", "name", _affiliation(F.col("s_name"), F.col("p_brand")).alias("affiliation"), _ror(nation).alias("ror"), _institution(nation).alias("institution"))
 
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,14 +153,16 @@ ENTITIES = [("supplier000000007 institute", "a"), ("institute unit brand13", "b"
 
 def work_lines(spark: SparkSession, sf_dir: str, bare: int | None = None) -> DataFrame:
     """Every order as one line of JSON, as works with a work id come; the last of every ``bare`` authors has no affiliation."""
-    held = F.lit(True) if bare is None else F.col("n") % bare != bare - 1
-    author = F.struct(
-        F.struct(F.col("name").alias("display_name")).alias("author"),
-        F.when(held, F.array(F.struct(F.col("affiliation").alias("raw_affiliation_string"), F.array("institution").alias("institution_ids")))).alias("affiliations"),
-        F.when(held, F.array(F.struct(F.col("institution").alias("id"), "ror"))).alias("institutions"),
-    )
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("n", author.alias("a")))), lambda x: x["a"])
-    works = lines(spark, sf_dir).groupBy("k").agg(listed.alias("authorships"))
+    def author(line: Column) -> Column:
+        nation = line["s_nationkey"]
+        ids = {"affiliations": F.array(F.struct(_affiliation(line["s_name"], line["p_brand"]).alias("raw_affiliation_string"), F.array(_institution(nation)).alias("institution_ids"))),
+               "institutions": F.array(F.struct(_institution(nation).alias("id"), _ror(nation).alias("ror")))}
+        held = F.lit(True) if bare is None else line["n"] % bare != bare - 1
+        return F.struct(F.struct(line["name"].alias("display_name")).alias("author"), *(F.when(held, v).alias(c) for c, v in ids.items()))
+
+    # an order's lines come together as the tables have them; what is made of them is longer
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("n", "name", "s_name", "p_brand", "s_nationkey"))), author)
+    works = _joined(spark, sf_dir).groupBy("k").agg(listed.alias("authorships"))
     record = F.struct(
         F.concat(F.lit("W"), F.col("k").cast("string")).alias("id"), F.concat(F.lit("https://doi.org/"), doi_of(F.col("k"))).alias("doi"), "authorships",
         F.struct(F.struct(F.concat(F.lit("S"), (F.col("k") % 5).cast("string")).alias("id")).alias("source")).alias("primary_location"),

@@ -130,7 +130,7 @@ def csv_splittable(spark: SparkSession, sf_dir: str) -> DataFrame:
 def organized_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: one folder per source."""
     rows = extract.extract(a.work_lines(spark, sf_dir), extract.PIPELINE_FIELDS)
-    return works.read_csv(spark, sinks.write_organized(rows, scratch(spark), "source_id")).groupBy("organized_by", "source_id").agg(F.count(F.lit(1)).alias("n"))
+    return works.read_csv(spark, sinks.write_organized(rows, scratch(spark), "source_id", "gzip")).groupBy("organized_by", "source_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- the entry points with files ---------------------------------------------------------------------------------------------
